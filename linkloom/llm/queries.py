@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from .mixing import OP10_SQL, op10_poisson_mixing
+from .quality import op6_compression_quality
 from .sharding import op5_sharding
+from .tokens import op9_wavelet_tokens
 
 QUERIES = {
     "op5_sharding": op5_sharding,
+    "op6_compression_quality": op6_compression_quality,
+    "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_poisson_mixing": op10_poisson_mixing,
 }
 
