@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from .fingerprints import op7_scaled_fingerprints
+from .html import op3_tree_scoring
 from .mixing import OP10_SQL, op10_poisson_mixing
 from .quality import op6_compression_quality
 from .sharding import op5_sharding
 from .tokens import op9_wavelet_tokens
 
 QUERIES = {
+    "op3_tree_scoring": op3_tree_scoring,
     "op5_sharding": op5_sharding,
     "op6_compression_quality": op6_compression_quality,
+    "op7_scaled_fingerprints": op7_scaled_fingerprints,
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_poisson_mixing": op10_poisson_mixing,
 }
