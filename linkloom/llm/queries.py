@@ -5,6 +5,7 @@ from __future__ import annotations
 from .fingerprints import op7_scaled_fingerprints
 from .html import op3_tree_scoring
 from .mixing import OP10_SQL, op10_poisson_mixing
+from .pii import op8_pii
 from .quality import op6_compression_quality
 from .sharding import op5_sharding
 from .tokens import op9_wavelet_tokens
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_compression_quality": op6_compression_quality,
     "op7_scaled_fingerprints": op7_scaled_fingerprints,
+    "op8_pii": op8_pii,
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_poisson_mixing": op10_poisson_mixing,
 }
