@@ -19,18 +19,19 @@ from ._util import new_folder, partitions, small_batches, table, written
 
 #: Ids of a file at most, unless a single document has more: what a task holds at a time.
 FILE_TOKENS = 1 << 22
-#: Words that a worker remembers.
-REMEMBERED = 1 << 19
+#: Pieces that a worker remembers.
+REMEMBERED = 1 << 20
 
-#: Latin letters and ASCII signs after them: such a word is its lower-cased letters, then its signs.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
+#: The tokenizer's own split, for lower-cased text of Latin-1 only: letters and digits are those of that range.
+_LETTERS, _DIGITS, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t\n\v\f\r \x85\xa0"
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+")
 
 
 class WordEncoder:
-    """Encodes whole texts by their words: the tokenizer drops white space, so no token crosses it.
+    """Encodes whole texts by their pieces, whose ids are remembered: no token crosses a piece.
 
-    Words are cut at ASCII white space only. Ids of words are remembered, and those of the letters and of the signs after
-    them, since the tokenizer splits there and lower-cases; all other words go to the tokenizer as they are.
+    Texts in Latin-1 are lower-cased and cut as the tokenizer does it. Others are cut at ASCII white space, which the tokenizer
+    drops, and their words go to it as they are; so do texts that may hold one of its special tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -41,52 +42,45 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.known: dict[str | bytes, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        """Each part is one piece to the tokenizer, so its ids end with the first that ends a word."""
-        if not parts:
-            return
-        (ids,) = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)
-        ids = np.array(ids.ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(parts) and ends[-1] == len(ids):
-            self.parts.update(zip(parts, (x.tobytes() for x in np.split(ids, ends[:-1])), strict=True))
-        else:
-            self.parts.update(zip(parts, self._encoded(parts), strict=True))
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        if len(self.parts) > REMEMBERED:
-            self.parts = {"": b""}
-        plain, other = [], []
-        for word in words:
-            m = _PLAIN.fullmatch(word.decode())
-            (plain if m else other).append((word, m))
-        split = [(w, m[1].lower(), m[2]) for w, m in plain]
-        known = self.parts
-        self._learn_parts([x for x in {p for _, a, b in split for p in (a, b)} if x not in known])
-        self.words.update((w, known[a] + known[b]) for w, a, b in split)
-        if other:
-            self.words.update(zip((w for w, _ in other), self._encoded([w.decode() for w, _ in other]), strict=True))
+    def _learn(self, fresh: list[str | bytes]) -> None:
+        """A piece is one to the tokenizer too, so its ids end with the first that ends a word."""
+        pieces, words = [x for x in fresh if isinstance(x, str)], [x for x in fresh if isinstance(x, bytes)]
+        for at in range(0, len(pieces), 4096):
+            part = pieces[at : at + 4096]
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                self.known.update((x, raw[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+            else:
+                self.known.update(zip(part, self._encoded(part), strict=True))
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            self.known.update(zip(part, self._encoded([w.decode() for w in part]), strict=True))
+
+    def _cut(self, text: bytes) -> list[str] | list[bytes]:
+        whole = text.decode()
+        try:
+            whole.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split()
+        return text.split() if "<|" in whole else _PIECE.findall(whole.lower())
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [t.split() for t in texts]
-        fresh = set().union(*cut).difference(self.words) if cut else set()
-        if fresh:
-            self._learn(fresh)
-            if len(self.words) < len(fresh):  # cleared meanwhile: the batch's older words too
-                self._learn(set().union(*cut).difference(self.words))
-        try:
-            return [np.frombuffer(b"".join(map(self.words.__getitem__, x)), "<u4") for x in cut]
-        except KeyError:
-            self._learn(set().union(*cut).difference(self.words))
-            return [np.frombuffer(b"".join(map(self.words.__getitem__, x)), "<u4") for x in cut]
+        cut = [self._cut(t) for t in texts]
+        every = set().union(*cut)
+        fresh = every.difference(self.known)
+        if fresh and len(self.known) + len(fresh) > REMEMBERED:
+            self.known.clear()
+            fresh = every
+        self._learn(list(fresh))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, x)), "<u4") for x in cut]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
