@@ -71,3 +71,8 @@ def unit(*cols: Column) -> Column:
     """A number in (0, 1) from 52 bits of the MD5 of the columns, the same in any engine."""
     digest = F.md5(F.concat_ws(":", *[c.cast("string") for c in cols]))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def let(value: Column, body) -> Column:
+    """body(value), value being computed once for a row however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._util import table, written
+from ._util import let, table, written
 
 #: Words of a shingle, least weighted similarity of window and item, bits of a fingerprint, and its largest Hamming distance.
 #: At a similarity of 0.8 the mean distance is 9.7 bits and its deviation 2.9; all pairs within RADIUS are found.
@@ -70,23 +70,29 @@ def _bag(pairs: Column) -> Column:
     return F.map_from_arrays(keys, F.transform(keys, one))
 
 
-def _pairs(hashed: Column, lengths: Column, k: int) -> Column:
-    return F.arrays_zip(_shingles(hashed, k).alias("h"), _weights(lengths, k).alias("w"))
+def _hashed(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _pairs(w: Column, k: int) -> Column:
+    """(h, w) of each shingle of an array of words."""
+    hashes = let(_hashed(w), lambda h: _shingles(h, k))
+    weights = let(F.transform(w, lambda x: F.length(x)), lambda n: _weights(n, k))
+    return F.arrays_zip(hashes.alias("h"), weights.alias("w"))
 
 
 def items_of(benchmark: DataFrame, k: int | None, key: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, m, pairs) of items with a word: of at least WORDS words (k None) or of k words."""
     w = benchmark.select(F.col(key).alias("item_id"), words(F.col(text)).alias("_w")).where("item_id is not null").where(F.size("_w") >= WORDS if k is None else F.size("_w") == k).dropDuplicates(["item_id", "_w"])
-    w = w.select("item_id", F.size("_w").alias("m"), F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"), F.transform("_w", lambda x: F.length(x)).alias("_l"))
-    return w.select("item_id", "m", _pairs(F.col("_h"), F.col("_l"), k or WORDS).alias("pairs"))
+    return w.select("item_id", F.size("_w").alias("m"), _pairs(F.col("_w"), k or WORDS).alias("pairs"))
 
 
 def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """(doc_id, item_id, m, s, weight, win, base): where documents share a shingle with an item: the place s in words where
     the item would start, the weight of shared shingles with that place, and the words around."""
     shingles = items.select("item_id", "m", F.posexplode("pairs").alias("off", "p")).select("item_id", "m", "off", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
-    d = docs.withColumn("_w", words(F.col("text"))).withColumn("_hw", F.transform("_w", lambda x: F.xxhash64(x))).withColumn("_s", _shingles(F.col("_hw"), k))
-    rows = d.select("doc_id", "_w", F.posexplode("_s").alias("pos", "h"))
+    both = let(words(F.col("text")), lambda w: F.struct(w.alias("w"), let(_hashed(w), lambda h: _shingles(h, k)).alias("s")))
+    rows = docs.select("doc_id", both.alias("d")).select("doc_id", F.col("d.w").alias("_w"), F.posexplode("d.s").alias("pos", "h"))
     # the caller keeps the shingles below BLOCK
     found = rows.join(F.broadcast(shingles), "h").withColumn("s", F.col("pos") - F.col("off"))
     base = F.greatest(F.col("s") - F.col("m"), F.lit(0))
@@ -101,22 +107,23 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius:
     by = Window.partitionBy("doc_id", "item_id", "m")
     # a window that reaches the similarity shares at least that part of the item's weight
     able = hits.withColumn("shared", F.sum("weight").over(by)).join(F.broadcast(weighed.withColumnRenamed("item_id", "_i")), (F.col("item_id") == F.col("_i")) & (F.col("m") == F.col("_m"))).where(F.col("shared") >= F.lit(similar) * F.col("all"))
-    # shared weight can only peak at such places or between two of them
+    # shared weight can only peak at such places or between two of them; a window beside them may hold less that isn't shared,
+    # but no further away than the weight that it may lose
     after = F.lead("s").over(by.orderBy("s"))
     last = F.when((after - F.col("s")) <= F.col("m"), after - 1).otherwise(F.col("s"))
-    starts = able.withColumn("last", last).withColumn("t", F.explode(F.sequence("s", "last"))).where(F.col("t") + F.col("m") > 0)
+    aside = F.ceil(F.col("m") * F.lit(1 - similar) / 2).cast("int") + 1
+    starts = able.withColumn("last", last).withColumn("t", F.explode(F.sequence(F.col("s") - aside, F.greatest(F.col("last"), F.col("s") + aside)))).where(F.col("t") + F.col("m") > 0)
     win = F.slice("win", F.greatest(F.col("t"), F.lit(0)) - F.col("base") + 1, F.col("m") + F.least(F.col("t"), F.lit(0)))
     window = starts.select("doc_id", F.col("item_id").alias("seen"), "m", F.greatest(F.col("t"), F.lit(0)).alias("start"), win.alias("_w"))
-    window = window.withColumn("_hw", F.transform("_w", lambda x: F.xxhash64(x))).withColumn("_l", F.transform("_w", lambda x: F.length(x)))
-    window = window.select("doc_id", "seen", "m", "start", F.size("_w").alias("n_words"), _pairs(F.col("_hw"), F.col("_l"), k).alias("pairs")).where(F.size("pairs") > 0)
-    window = written(window.dropDuplicates(["doc_id", "m", "start"]).withColumn("fp", simhash(F.col("pairs"))), "windows")
-    marked = items.withColumn("ifp", simhash(F.col("pairs")))
+    window = window.select("doc_id", "seen", "m", "start", F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs")).where(F.size("pairs") > 0)
+    window = written(window.dropDuplicates(["doc_id", "m", "start"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
+    marked = items.withColumn("ifp", let(F.col("pairs"), simhash))
     index = marked.select("item_id", "m", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("b")).select("item_id", "m", "ifp", "b.n", "b.bits")
     asked = window.select("doc_id", "m", "start", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "m", "start", "fp", "b.n", "b.bits")
     near = asked.join(F.broadcast(index), ["m", "n", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select("doc_id", "m", "start", "item_id").distinct()
-    bags = items.select("item_id", "m", _bag(F.col("pairs")).alias("ibag"))
+    bags = items.select("item_id", "m", let(F.col("pairs"), _bag).alias("ibag"))
     held = near.join(window.select("doc_id", "m", "start", "n_words", "pairs"), ["doc_id", "m", "start"]).join(F.broadcast(bags), ["item_id", "m"])
-    sure = held.withColumn("similarity", similarity(_bag(F.col("pairs")), F.col("ibag"))).where(F.col("similarity") >= similar)
+    sure = held.withColumn("similarity", let(let(F.col("pairs"), _bag), lambda b: similarity(b, F.col("ibag")))).where(F.col("similarity") >= similar)
     best = Window.partitionBy("doc_id", "item_id").orderBy(F.col("similarity").desc(), F.col("start"), F.col("m"))
     return sure.withColumn("_best", F.row_number().over(best)).where("_best = 1").select("doc_id", "item_id", "similarity", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"))
 

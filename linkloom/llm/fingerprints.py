@@ -7,6 +7,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +68,6 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the column fingerprint of each whole text; needs no shuffle. A null text is empty."""
-    import pandas as pd
-
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")

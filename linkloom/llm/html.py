@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -263,8 +264,6 @@ def main_text(page: str | None) -> str:
 
 def extracted(pages: DataFrame, page: str = "html") -> DataFrame:
     """pages with the column text, the main text of every whole page (null: empty); replaces a column of this name. Needs no shuffle."""
-    import pandas as pd
-
     small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")

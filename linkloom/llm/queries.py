@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op4_simhash_decontamination
 from .fingerprints import op7_scaled_fingerprints
 from .html import op3_tree_scoring
 from .mixing import OP10_SQL, op10_poisson_mixing
@@ -12,6 +13,7 @@ from .tokens import op9_wavelet_tokens
 
 QUERIES = {
     "op3_tree_scoring": op3_tree_scoring,
+    "op4_simhash_decontamination": op4_simhash_decontamination,
     "op5_sharding": op5_sharding,
     "op6_compression_quality": op6_compression_quality,
     "op7_scaled_fingerprints": op7_scaled_fingerprints,
