@@ -58,7 +58,7 @@ def similarity(a: Column, b: Column) -> Column:
     """Weighted resemblance of two bags, maps from a shingle's hash to (n, w): sum of least counts by weight over sum of greatest."""
     both = F.aggregate(
         F.map_entries(a), F.lit(0).cast("long"),
-        lambda s, e: s + F.coalesce(F.least(e["value"]["n"], F.try_element_at(b, e["key"])["n"]), F.lit(0)) * e["value"]["w"],
+        lambda s, e: s + F.least(e["value"]["n"], F.coalesce(F.try_element_at(b, e["key"])["n"], F.lit(0))) * e["value"]["w"],
     )
     whole = _total(F.map_values(a)) + _total(F.map_values(b)) - both
     return F.when(whole > 0, both / whole).otherwise(F.lit(0.0))
@@ -119,10 +119,10 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius:
     window = written(window.dropDuplicates(["doc_id", "m", "start"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
     marked = items.withColumn("ifp", let(F.col("pairs"), simhash))
     index = marked.select("item_id", "m", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("b")).select("item_id", "m", "ifp", "b.n", "b.bits")
-    asked = window.select("doc_id", "m", "start", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "m", "start", "fp", "b.n", "b.bits")
-    near = asked.join(F.broadcast(index), ["m", "n", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select("doc_id", "m", "start", "item_id").distinct()
+    asked = window.select("doc_id", "m", "start", "n_words", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "m", "start", "n_words", "fp", "b.n", "b.bits")
+    near = asked.join(F.broadcast(index), ["m", "n", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select("doc_id", "m", "start", "n_words", "item_id").distinct()
     bags = items.select("item_id", "m", let(F.col("pairs"), _bag).alias("ibag"))
-    held = near.join(window.select("doc_id", "m", "start", "n_words", "pairs"), ["doc_id", "m", "start"]).join(F.broadcast(bags), ["item_id", "m"])
+    held = near.join(window.select("doc_id", "m", "start", "n_words", "pairs"), ["doc_id", "m", "start", "n_words"]).join(F.broadcast(bags), ["item_id", "m"])
     sure = held.withColumn("similarity", let(let(F.col("pairs"), _bag), lambda b: similarity(b, F.col("ibag")))).where(F.col("similarity") >= similar)
     best = Window.partitionBy("doc_id", "item_id").orderBy(F.col("similarity").desc(), F.col("start"), F.col("m"))
     return sure.withColumn("_best", F.row_number().over(best)).where("_best = 1").select("doc_id", "item_id", "similarity", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"))
