@@ -116,7 +116,7 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius:
     win = F.slice("win", F.greatest(F.col("t"), F.lit(0)) - F.col("base") + 1, F.col("m") + F.least(F.col("t"), F.lit(0)))
     window = starts.select("doc_id", F.col("item_id").alias("seen"), "m", F.greatest(F.col("t"), F.lit(0)).alias("start"), win.alias("_w"))
     window = window.select("doc_id", "seen", "m", "start", F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs")).where(F.size("pairs") > 0)
-    window = written(window.dropDuplicates(["doc_id", "m", "start"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
+    window = written(window.dropDuplicates(["doc_id", "m", "start", "n_words"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
     marked = items.withColumn("ifp", let(F.col("pairs"), simhash))
     index = marked.select("item_id", "m", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("b")).select("item_id", "m", "ifp", "b.n", "b.bits")
     asked = window.select("doc_id", "m", "start", "n_words", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "m", "start", "n_words", "fp", "b.n", "b.bits")
