@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import op4_simhash_decontamination
 from .fingerprints import op7_scaled_fingerprints
 from .html import op3_tree_scoring
+from .minhash import op1_minhash_forest
 from .mixing import OP10_SQL, op10_poisson_mixing
 from .pii import op8_pii
 from .quality import op6_compression_quality
@@ -12,6 +13,7 @@ from .sharding import op5_sharding
 from .tokens import op9_wavelet_tokens
 
 QUERIES = {
+    "op1_minhash_forest": op1_minhash_forest,
     "op3_tree_scoring": op3_tree_scoring,
     "op4_simhash_decontamination": op4_simhash_decontamination,
     "op5_sharding": op5_sharding,
