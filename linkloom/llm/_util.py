@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
 
 
+def filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """Arrow's filesystem of a folder's address, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", folder))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
     path = new_folder(df.sparkSession, name)

@@ -10,10 +10,12 @@ from .mixing import OP10_SQL, op10_poisson_mixing
 from .pii import op8_pii
 from .quality import op6_compression_quality
 from .sharding import op5_sharding
+from .suffixes import op2_suffix_dedup
 from .tokens import op9_wavelet_tokens
 
 QUERIES = {
     "op1_minhash_forest": op1_minhash_forest,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_tree_scoring": op3_tree_scoring,
     "op4_simhash_decontamination": op4_simhash_decontamination,
     "op5_sharding": op5_sharding,

@@ -9,13 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wavelet
-from ._util import new_folder, partitions, small_batches, table, written
+from ._util import filesystem, new_folder, partitions, small_batches, table, written
 
 #: Ids of a file at most, unless a single document has more: what a task holds at a time.
 FILE_TOKENS = 1 << 22
@@ -93,10 +92,6 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", folder))
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the ids of every whole text, each with end_id appended, and returns the list of files.
 
@@ -107,7 +102,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     small_batches(docs.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _filesystem(folder)
+        fs, base = filesystem(folder)
         encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         end, held, ids, counts, piece = np.array([end_id], "<u4"), 0, [], [], 0
         keys: list[int | None] = []
@@ -144,7 +139,7 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the listed files."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = _filesystem(folder)
+        fs, _ = filesystem(folder)
         for batch in batches:
             for name, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist(), strict=True):
                 with fs.open_input_stream(name) as of:
