@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wavelet
@@ -92,10 +92,10 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, key: str = "doc_id", text: str = "text", order: Column | None = None) -> DataFrame:
     """Writes the ids of every whole text, each with end_id appended, and returns the list of files.
 
-    Files (file, part, piece, n_docs, n_tokens) hold documents in ascending order of key, null keys first; documents that
+    Files (file, part, piece, n_docs, n_tokens) hold documents in ascending order of key (or of order, if given), null keys first; documents that
     repeat a key stay beside each other, by their text. A null text is empty: it has the end id only.
     A task that is run again writes files of other names, and only those of the run that counts are listed.
     """
@@ -130,8 +130,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             yield flush()
 
     listed = pa.schema([("file", pa.string()), ("part", pa.int32()), ("piece", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    dealt = rows.repartitionByRange(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), (F.col(key) if order is None else order).cast("long").alias("order"))
+    dealt = rows.repartitionByRange(partitions(docs.sparkSession), "order").sortWithinPartitions("order", "key", "text")
     return written(dealt.mapInArrow(write, "file string, part int, piece int, n_docs long, n_tokens long"), "token-files")
 
 
@@ -161,10 +161,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, key: str = "doc_id") -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, key: str = "doc_id", order: Column | None = None) -> DataFrame:
     """Writes docs and reads them back: see write_tokens and read_tokens."""
     folder = new_folder(docs.sparkSession, "tokens")
-    return read_tokens(write_tokens(docs, folder, tokenizer or default_tokenizer(), end_id, key), folder)
+    return read_tokens(write_tokens(docs, folder, tokenizer or default_tokenizer(), end_id, key, order=order), folder)
 
 
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
