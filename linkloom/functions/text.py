@@ -52,7 +52,7 @@ def heading(markup: Column) -> Column:
 
 def cut_words(text: Column, most: int = 110) -> Column:
     """At most so many code points, at a word's end, with an ellipsis if something went."""
-    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.rtrim(F.regexp_replace(F.substring(text, 1, most), r"\s\S*$", "")), F.lit("…")))
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.rtrim(F.regexp_replace(F.substring(text, 1, most), r"\s\S*\z", "")), F.lit("…")))
 
 
 def corpus_text(title: Column, description: Column) -> Column:
