@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans import vocabulary as V
 from .text import clean, decoded, tidy
+from .urls import let
 
 _DASH = "—–―~‒-"
 
@@ -19,8 +20,8 @@ def meta(page: Column, *names: str) -> Column:
     for name in names:
         n = name.replace(":", "[:]")
         for p in (rf"(?is)<meta[^>]+(?:property|name)=[\"']{n}[\"'][^>]*?content=[\"']([^\"']*)[\"']", rf"(?is)<meta[^>]+content=[\"']([^\"']*)[\"'][^>]*?(?:property|name)=[\"']{n}[\"']"):
-            found.append(F.nullif(F.trim(decoded(F.regexp_extract(page, p, 1))), F.lit("")))
-    return F.coalesce(*found)
+            found.append(F.nullif(F.trim(F.regexp_extract(page, p, 1)), F.lit("")))
+    return F.trim(decoded(F.coalesce(*found)))
 
 
 def scraped(page: Column) -> Column:
@@ -29,7 +30,8 @@ def scraped(page: Column) -> Column:
     flat = lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))
     description = F.coalesce(flat(meta(page, "og:description", "twitter:description", "description")), F.lit(""))
     is_html = F.lower(F.substring(page, 1, 2000)).contains("<html")
-    return F.struct(F.when(is_html, F.substring(flat(title), 1, 160)).alias("title"), F.when(is_html, blurb(description)).alias("description"))
+    parts = let(description, lambda d: F.struct(F.substring(flat(title), 1, 160).alias("title"), blurb(d).alias("description")))
+    return F.when(is_html, parts).otherwise(F.struct(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("description")))
 
 
 def blurb(description: Column) -> Column:
@@ -77,12 +79,16 @@ def quotation(unit: Column) -> Column:
 def tags(kind: Column, title: Column, description: Column, host: Column, url: Column, repo: Column) -> Column:
     """Ordered tags: kind, topics, then what host and text add."""
     empty = lambda c: F.coalesce(c, F.lit(""))
-    hay = F.lower(F.concat_ws(" ", empty(title), empty(description), empty(host), empty(url)))
-    # letters of any language bound a word
-    found = [F.when(hay.rlike("(?U)" + pattern), slug) for pattern, slug, _, _ in V.TOPICS]
-    video = empty(host).rlike(r"(youtube\.com|youtu\.be|vimeo\.com)$") | hay.rlike(r"(?U)\b(video|watch|podcast|youtube)\b")
-    more = [F.when(repo.isNotNull(), "opensource"), F.when(empty(host).endswith("wikipedia.org"), "wikipedia"), F.when(video, "video")]
-    return F.array_distinct(F.filter(F.array(kind, *found, *more), lambda t: t.isNotNull()))
+    text = F.lower(F.concat_ws(" ", empty(title), empty(description), empty(host), empty(url)))
+
+    def found(hay: Column) -> Column:
+        # letters of any language bound a word
+        topics = [F.when(hay.rlike("(?U)" + pattern), slug) for pattern, slug, _, _ in V.TOPICS]
+        video = empty(host).rlike(r"(youtube\.com|youtu\.be|vimeo\.com)$") | hay.rlike(r"(?U)\b(video|watch|podcast|youtube)\b")
+        more = [F.when(repo.isNotNull(), "opensource"), F.when(empty(host).endswith("wikipedia.org"), "wikipedia"), F.when(video, "video")]
+        return F.array_distinct(F.filter(F.array(kind, *topics, *more), lambda t: t.isNotNull()))
+
+    return let(text, found)
 
 
 def kind_for(channel: Column, host: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .urls import is_furniture
+from .urls import is_furniture, let
 
 #: References that are decoded without Python; `unescaped` in functions.udfs decodes all of HTML's.
 REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&mdash;": "—", "&ndash;": "–", "&hellip;": "…", "&rsquo;": "’", "&amp;": "&"}
@@ -15,8 +15,12 @@ def tidy(text: Column) -> Column:
     """A description without leading punctuation and connective, capitalised, with a stop; null becomes empty."""
     lead = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\s.,;:!?)\]…–—-]+", "")
     rest = F.regexp_replace(F.regexp_replace(lead, r"(?i)^(and|but|so|also|plus|yet)\b[\s,]*", ""), r"^\s+|\s+$", "")
-    capital = F.concat(F.upper(F.substring(rest, 1, 1)), F.substring(rest, F.lit(2), F.length(rest)))
-    return F.when(rest == "", "").when(F.substring(rest, -1, 1).isin(".", "!", "?", ")", "”", '"'), capital).otherwise(F.concat(capital, F.lit(".")))
+
+    def ended(r: Column) -> Column:
+        capital = F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, F.lit(2), F.length(r)))
+        return F.when(r == "", "").when(F.substring(r, -1, 1).isin(".", "!", "?", ")", "”", '"'), capital).otherwise(F.concat(capital, F.lit(".")))
+
+    return let(rest, ended)
 
 
 def commentary(text: Column, most: int = 300) -> Column:

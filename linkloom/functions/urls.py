@@ -106,12 +106,19 @@ def canonical_key(url: Column) -> Column:
 
 def name_from_url(url: Column) -> Column:
     """What the URL itself calls its page: project, last path segment, host or the URL."""
-    h, r = host(url), repo(url)
     tail = F.split_part(F.regexp_replace(url, r"^https?://[^/]+", ""), F.lit("?"), F.lit(1))
     last = F.regexp_replace(F.try_element_at(_segments(tail), F.lit(-1)), r"\.(html?|php|aspx?|md|pdf)$", "")
-    said = F.trim(F.regexp_replace(_decoded(F.replace(last, F.lit("+"), F.lit("%2B"))), r"[-_+]+", " "))
-    good = ~said.rlike(r"^[\d\W]+$") & (F.length(said) > 2)
-    return F.when(r.isNotNull(), F.element_at(F.split(r, "/"), -1)).when(h.rlike("(?i)" + V.OPAQUE_HOST), h).when(good, F.concat(F.upper(F.substring(said, 1, 1)), F.substring(said, F.lit(2), F.length(said)))).otherwise(F.coalesce(F.nullif(h, F.lit("")), url))
+    # a plus sign isn't a space to this decoding, but becomes one after it
+    plain = let(F.replace(last, F.lit("+"), F.lit("%2B")), _decoded)
+    parts = F.struct(host(url).alias("h"), repo(url).alias("r"), F.trim(F.regexp_replace(plain, r"[-_+]+", " ")).alias("s"))
+
+    def name(x: Column) -> Column:
+        h, r, said = x["h"], x["r"], x["s"]
+        good = ~said.rlike(r"^[\d\W]+$") & (F.length(said) > 2)
+        title = F.concat(F.upper(F.substring(said, 1, 1)), F.substring(said, F.lit(2), F.length(said)))
+        return F.when(r.isNotNull(), F.element_at(F.split(r, "/"), -1)).when(h.rlike("(?i)" + V.OPAQUE_HOST), h).when(good, title).otherwise(F.coalesce(F.nullif(h, F.lit("")), url))
+
+    return let(parts, name)
 
 
 def handler(url: Column) -> Column:

@@ -10,7 +10,9 @@ from ..functions import html, urls
 
 def wanted(sightings: DataFrame) -> DataFrame:
     """(key, url): the first URL of each destination by seq, furniture left out."""
-    rows = sightings.where(~urls.is_furniture(F.col("url"))).withColumn("key", urls.canonical_key(F.col("url"))).where("key is not null")
+    # the first sighting of each URL, then of each key: URL expressions run once for each URL
+    first = sightings.groupBy("url").agg(F.min("seq").alias("seq")).where(~urls.is_furniture(F.col("url")))
+    rows = first.withColumn("key", urls.canonical_key(F.col("url"))).where("key is not null")
     return rows.groupBy("key").agg(F.min(F.struct("seq", "url")).alias("m")).select("key", "m.url", F.col("m.seq").alias("seq"))
 
 

@@ -46,10 +46,15 @@ def permalink(guild: Column, channel: Column, message: Column, base: str = "http
 
 
 def enriched(sightings: DataFrame, cache: DataFrame) -> DataFrame:
-    """Sightings with key, host, repo, title, description, kind and tags; cache (key, title, description) is joined on the key."""
+    """Sightings with key, host, repo, title, description, kind and tags; cache (key, title, description) is joined on the key.
+
+    What depends on the link and its channel only is worked out once for each of their pairs, not for each sighting.
+    """
     c = cache.select(F.col("key").alias("_key"), F.col("title").alias("_title"), F.col("description").alias("_description"))
-    rows = sightings.withColumn("key", urls.canonical_key(F.col("url"))).withColumn("host", urls.host(F.col("url"))).withColumn("repo", urls.repo(F.col("url")))
-    rows = rows.join(c, F.col("key") == F.col("_key"), "left")
-    rows = rows.withColumn("title", title_of(F.lit(None).cast("string"), F.col("_title"), F.col("url"))).withColumn("description", description_of(F.lit(None).cast("string"), F.col("_description")))
-    rows = rows.withColumn("kind", html.kind_for(F.col("chan"), F.col("host")))
-    return rows.withColumn("tags", html.tags(F.col("kind"), F.col("title"), F.col("description"), F.col("host"), F.col("url"), F.col("repo"))).drop("_key", "_title", "_description")
+    links = sightings.select("url", "chan").distinct()
+    links = links.withColumns({"key": urls.canonical_key(F.col("url")), "host": urls.host(F.col("url")), "repo": urls.repo(F.col("url"))})
+    links = links.join(c, F.col("key") == F.col("_key"), "left")
+    links = links.withColumns({"title": title_of(F.lit(None).cast("string"), F.col("_title"), F.col("url")), "description": description_of(F.lit(None).cast("string"), F.col("_description")), "kind": html.kind_for(F.col("chan"), F.col("host"))})
+    links = links.withColumn("tags", html.tags(F.col("kind"), F.col("title"), F.col("description"), F.col("host"), F.col("url"), F.col("repo"))).drop("_key", "_title", "_description")
+    links = links.withColumnsRenamed({"url": "_url", "chan": "_chan"})
+    return sightings.join(links, F.col("url").eqNullSafe(F.col("_url")) & F.col("chan").eqNullSafe(F.col("_chan"))).drop("_url", "_chan")

@@ -305,7 +305,7 @@ def source_summary(spark, d):
 
 @query(f"SELECT count(DISTINCT key) AS entities FROM ({d_key(f'({SIGHTINGS})')})")
 def entity_count(spark, d):
-    return sightings(spark, d).agg(F.count_distinct(urls.canonical_key(F.col("url"))).alias("entities"))
+    return sightings(spark, d).select("url").distinct().agg(F.count_distinct(urls.canonical_key(F.col("url"))).alias("entities"))
 
 
 @query(f"SELECT string_agg(chan, ',' ORDER BY chan) AS channels FROM (SELECT DISTINCT chan FROM ({SIGHTINGS}))")
