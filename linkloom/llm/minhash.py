@@ -18,10 +18,11 @@ from .components import components
 #: Sorted orders of signatures, and hashes that two documents must share at an order's front to be candidates. A link of
 #: similarity 0.8 shares the front of none of the orders with a chance of (1 - 0.8 ** 4) ** 24 = 3e-6.
 TREES, DEPTH = 24, 4
-#: A front shared by more documents than this is a dense region: there the prefix grows until fewer share it.
-DENSE = 64
-#: Lengths of such prefixes beyond the front, in signature bytes.
-DEEPER = (2, 4, 8, 16)
+#: A front shared by more documents than this is a dense region: there the prefix grows, byte by byte of the signature, until
+#: fewer share it or it is as long as DEEPEST.
+DENSE, DEEPEST = 64, 24
+#: Bits of the map that says which documents can be asked for; its size is fixed, so it may be collected and broadcast.
+MAP_BITS = 1 << 24
 #: Equal bytes of two signatures of TREES * DEPTH hashes that candidates need: a pair of similarity 0.8 has fewer with a chance below 1e-6.
 SLACK = 5.4
 #: Documents of a dense region that a task compares with each other: some that aren't linked into the region's largest class, and members.
@@ -96,28 +97,67 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tupl
         yield k, list(group)
 
 
+def _near(ids: np.ndarray, sig: np.ndarray, least: int, out: list) -> None:
+    """All pairs of at most DENSE documents whose signatures agree in enough bytes."""
+    for i in range(len(ids) - 1):
+        near = np.count_nonzero(sig[i + 1 :] == sig[i], axis=1)
+        hit = np.flatnonzero(near >= least)
+        if len(hit):
+            other = ids[i + 1 :][hit]
+            out.append((np.minimum(other, ids[i]), np.maximum(other, ids[i]), near[hit]))
+
+
+def _pair_batch(out: list) -> pa.RecordBatch:
+    a, b, n = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], ["a", "b", "near"])
+
+
 def _near_pairs(groups: DataFrame, spark: SparkSession, least: int) -> DataFrame:
     """(a, b, near): pairs of each group of at most DENSE rows (g, doc_id, sig) whose signatures agree in enough bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches):
-            ids = np.array([r[1] for r in rows], np.int64)
-            sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
-            out = []
-            for i in range(len(rows) - 1):
-                near = np.count_nonzero(sig[i + 1 :] == sig[i], axis=1)
-                hit = np.flatnonzero(near >= least)
-                if len(hit):
-                    other = ids[i + 1 :][hit]
-                    out.append((np.minimum(other, ids[i]), np.maximum(other, ids[i]), near[hit]))
+            out: list = []
+            _near(np.array([r[1] for r in rows], np.int64), np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1), least, out)
             if out:
-                a, b, n = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], ["a", "b", "near"])
+                yield _pair_batch(out)
 
     dealt = groups.select("g", "doc_id", "sig").repartition(partitions(spark), "g").sortWithinPartitions("g")
     return dealt.mapInArrow(run, "a long, b long, near int").where("a <> b")
 
 
+def _dense_pairs(dense: DataFrame, spark: SparkSession, least: int) -> DataFrame:
+    """The same for rows (front, sig, doc_id) of dense regions: a sorted order of the signatures is cut into ranges, and in each
+    range neighbours are those with the longest common prefixes: all of a prefix that at most DENSE documents share, and the
+    first and each other one where even the longest prefix is shared by more. Ranges cut regions wherever they fall."""
+
+    def split(t: np.ndarray, ids: np.ndarray, depth: int, out: list) -> None:
+        stack = [(0, len(ids), depth)]
+        while stack:
+            lo, hi, depth = stack.pop()
+            if hi - lo <= DENSE:
+                _near(ids[lo:hi], t[lo:hi], least, out)
+            elif depth == DEEPEST:
+                near = np.count_nonzero(t[lo + 1 : hi] == t[lo], axis=1)
+                hit = np.flatnonzero(near >= least)
+                other = ids[lo + 1 : hi][hit]
+                out.append((np.minimum(other, ids[lo]), np.maximum(other, ids[lo]), near[hit]))
+            else:
+                col = t[lo:hi, depth]
+                cut = [lo, *(lo + 1 + np.flatnonzero(col[1:] != col[:-1])).tolist(), hi]
+                stack += [(x, y, depth + 1) for x, y in zip(cut[:-1], cut[1:], strict=True) if y - x > 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _runs(batches):
+            out: list = []
+            split(np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1), np.array([r[2] for r in rows], np.int64), 0, out)
+            if out:
+                yield _pair_batch(out)
+
+    dealt = dense.select("front", "turned", "doc_id").repartitionByRange(partitions(spark), "front", "turned", "doc_id").sortWithinPartitions("front", "turned", "doc_id")
+    return dealt.mapInArrow(run, "a long, b long, near int").where("a <> b")
+
+
 def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return den * both >= num * (len(x) + len(y) - both)
@@ -139,15 +179,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, s): the full shingle sets of some documents, recomputed from their texts."""
+    """(doc_id, s): the full shingle sets of some documents, recomputed from their texts.
+
+    A bit map of fixed size lets most other texts go before anything moves; a join with the ids does the rest. On a corpus with far more
+    candidates than bits the map lets all pass, and the result is the same.
+    """
+    spark = docs.sparkSession
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    words = ids.select(slot.alias("h")).groupBy(F.shiftright("h", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toPandas()
+    held = np.zeros(MAP_BITS // 64, np.int64)
+    held[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
-            s = [shingles(t or b"", k)[0].tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.binary())], ["doc_id", "s"])
+            h = batch.column("h").to_numpy(zero_copy_only=False)
+            keep = pa.array((bits[h >> 6] >> (h & 63)) & 1 == 1)
+            part = batch.filter(keep)
+            s = [shingles(t or b"", k)[0].tobytes() for t in part.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s, pa.binary())], ["doc_id", "s"])
 
-    needed = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
-    return needed.mapInArrow(run, "doc_id long, s binary")
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").withColumn("h", slot)
+    return asked.mapInArrow(run, "doc_id long, s binary").join(ids, "doc_id", "left_semi")
 
 
 def _block_links(blocks: DataFrame, spark: SparkSession, num: int, den: int) -> DataFrame:
@@ -193,7 +247,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: tuple[int, int] =
 
     1. Documents with the same words are one class; its smallest doc_id stands for it.
     2. The LSH forest: TREES sorted orders of the signature; documents with a longest common prefix of DEPTH hashes are neighbours. In a dense
-       region the prefix grows until at most DENSE documents share it; those that share all of it are neighbours of the first.
+       region the prefix grows until at most DENSE documents share it; those that share even the longest are neighbours of the first.
     3. Neighbours whose signatures are near are confirmed on full sets: for each document first the nearest two, then those that are in
        other components still.
     4. What a dense region may have lost by its longer prefixes: its documents outside its largest component are compared exactly with all of it, in blocks.
@@ -218,20 +272,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: tuple[int, int] =
     met = members.join(sigs, "doc_id")
     sparse = met.where(F.col("many") <= DENSE).select(F.col("front").alias("g"), "doc_id", "sig")
     # the prefix goes on with other bytes of the signature, in an order that the front gives
-    long_ = F.concat(F.expr(f"substring(sig, cast(pmod(front, {n_hash}) as int) + 1, {n_hash})"), F.expr(f"substring(sig, 1, cast(pmod(front, {n_hash}) as int))"))
-    dense = met.where(F.col("many") > DENSE).withColumn("_turned", long_)
-    dense = dense.select("doc_id", "front", "first", "sig", *[F.xxhash64("front", F.expr(f"substring(_turned, 1, {d})")).alias(f"p{d}") for d in DEEPER])
-    dense = written(dense, "dense")
-    # pre-aggregated counts of each prefix
-    for d in DEEPER:
-        counts = dense.groupBy(f"p{d}").agg(F.count(F.lit(1)).alias(f"c{d}"), F.min("doc_id").alias(f"f{d}"))
-        dense = dense.join(counts, f"p{d}")
-    last = DEEPER[-1]
-    group = F.coalesce(*[F.when(F.col(f"c{d}") <= DENSE, F.col(f"p{d}")) for d in DEEPER])
-    dense = written(dense.select("doc_id", "front", "first", "sig", group.alias("g"), F.col(f"f{last}").alias("head")), "dense")
-    close = _near_pairs(sparse.unionByName(dense.where("g is not null").select("g", "doc_id", "sig")), spark, least)
-    same = dense.where("g is null and doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"), F.lit(n_hash).alias("near"))
-    pairs = written(close.unionByName(same).groupBy("a", "b").agg(F.max("near").alias("near")), "pairs")
+    turn = f"cast(pmod(front, {n_hash}) as int)"
+    turned = F.concat(F.expr(f"substring(sig, {turn} + 1, {n_hash})"), F.expr(f"substring(sig, 1, {turn})"))
+    dense = written(met.where(F.col("many") > DENSE).select("doc_id", "front", "first", turned.alias("turned")), "dense")
+    close = _near_pairs(sparse, spark, least).unionByName(_dense_pairs(dense, spark, least))
+    pairs = written(close.groupBy("a", "b").agg(F.max("near").alias("near")), "pairs")
 
     # 3. the nearest two of each document, then what is still apart
     ends = pairs.select(F.col("b").alias("x"), "a", "b", "near").union(pairs.select(F.col("a").alias("x"), "a", "b", "near"))
