@@ -25,7 +25,7 @@ from ._util import filesystem, new_folder, partitions, small_batches, table, wri
 #: Bytes of a string that counts, and of the shorter strings whose smallest hash stands for it.
 SPAN, SEED = 50, 24
 #: Text bytes and documents of a block at most (a longer document is a block), and bytes that are hashed at a time.
-BLOCK_BYTES, BLOCK_DOCS, CHUNK = 24 << 20, 60_000, 1 << 20
+BLOCK_BYTES, BLOCK_DOCS, CHUNK = 8 << 20, 60_000, 1 << 19
 #: Bits of a string's hash that travel.
 BITS = 60
 _U = np.uint64
@@ -275,8 +275,9 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     def gathered(ids: list, texts: list[bytes], places: list[int], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys, docs_ = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
         for _part, c, at, h in _strings(ids, texts, places, shared):
-            keys.append(h)
-            docs_.append(c.docs[at])
+            k, least, _most = _least(h, c.docs[at])
+            keys.append(k)
+            docs_.append(least)
         k, least, _most = _least(np.concatenate(keys), np.concatenate(docs_))
         return k, least
 
