@@ -167,15 +167,22 @@ def _seeds(ids: list, texts: list[bytes], places: list[int]) -> tuple[np.ndarray
     return k, least != most
 
 
-def _strings(ids: list, texts: list[bytes], places: list[int], shared: np.ndarray) -> Iterator[tuple[list[int], Chunk, np.ndarray, np.ndarray]]:
-    """For each chunk, the starts and hashes of the strings whose seed is shared."""
-    for part, c in _chunks(ids, texts, places):
+class Found:
+    """What is kept of a chunk: its documents, and the starts, hashes and documents of the strings whose seed is shared."""
+
+    def __init__(self, part: list[int], c: Chunk, shared: np.ndarray) -> None:
+        self.part, self.data, self.begins, self.ends = part, c.data, c.begins, c.ends
         s = c.seeds()
-        if not len(s) or not len(shared):
-            yield part, c, np.zeros(0, np.int64), np.zeros(0, _U)
-            continue
-        hit = shared[np.minimum(np.searchsorted(shared, s), len(shared) - 1)] == s
-        yield part, c, c.starts[hit], c.strings()[hit]
+        if len(s) and len(shared):
+            hit = shared[np.minimum(np.searchsorted(shared, s), len(shared) - 1)] == s
+            self.at, self.hashes = c.starts[hit].astype(np.int32), c.strings()[hit]
+        else:
+            self.at, self.hashes = np.zeros(0, np.int32), np.zeros(0, _U)
+        self.docs = c.docs[self.at]
+
+
+def _strings(ids: list, texts: list[bytes], places: list[int], shared: np.ndarray) -> list[Found]:
+    return [Found(part, c, shared) for part, c in _chunks(ids, texts, places)]
 
 
 def _cut(keys: np.ndarray, bits: int, n: int) -> np.ndarray:
@@ -272,10 +279,10 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
         keys, inside = _seeds(ids, texts, places)
         return keys[_mask(answers, keys, 64, n) | inside]
 
-    def gathered(ids: list, texts: list[bytes], places: list[int], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def gathered(found: list[Found]) -> tuple[np.ndarray, np.ndarray]:
         keys, docs_ = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
-        for _part, c, at, h in _strings(ids, texts, places, shared):
-            k, least, _most = _least(h, c.docs[at])
+        for f in found:
+            k, least, _most = _least(f.hashes, f.docs)
             keys.append(k)
             docs_.append(least)
         k, least, _most = _least(np.concatenate(keys), np.concatenate(docs_))
@@ -285,7 +292,7 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
         fs, _base = filesystem(folder)
         ids, texts = _read(fs, block)
         shared = known(ids, texts, searched(places), answers)
-        keys, least = gathered(ids, texts, searched(places), shared)
+        keys, least = gathered(_strings(ids, texts, searched(places), shared))
         yield _sent(keys, least, block, BITS, n)
         if len(shared):
             # the shared seeds come along, to be known again in the last step
@@ -297,22 +304,23 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
         seeds = [r for r in answers if r["part"] < 0]
         shared = _unpacked(seeds[0]["mask"])[0] if seeds else np.zeros(0, _U)
         mine, copies = searched(places), {-1 - p for p in places if p < 0}
-        keys, least = gathered(ids, texts, mine, shared)
+        found = _strings(ids, texts, mine, shared)
+        keys, least = gathered(found)
         earlier = _mask([r for r in answers if r["part"] >= 0], keys, BITS, n)
         result: dict[int, tuple] = {}
-        for part, c, at, h in _strings(ids, texts, mine, shared):
-            cover = np.zeros(len(c.data) + 1, np.int32)
-            if len(at):
-                slot = np.searchsorted(keys, h)
-                gone = at[earlier[slot] | (c.docs[at] > least[slot])]
-                np.add.at(cover, gone, 1)
-                np.add.at(cover, gone + SPAN, -1)
+        for f in found:
+            cover = np.zeros(len(f.data) + 1, np.int32)
+            if len(f.at):
+                slot = np.searchsorted(keys, f.hashes)
+                gone = f.at[earlier[slot] | (f.docs > least[slot])]
+                cover[gone] += 1  # starts are distinct, and so are ends
+                cover[gone + SPAN] -= 1
             covered = np.cumsum(cover)[:-1] > 0
-            for i, a, b in zip(part, c.begins.tolist(), c.ends.tolist(), strict=True):
+            for i, a, b in zip(f.part, f.begins.tolist(), f.ends.tolist(), strict=True):
                 own = covered[a:b]
                 if own.any():
                     spans = int(own[0]) + int(np.count_nonzero(own[1:] & ~own[:-1]))
-                    result[i] = (int(own.sum()), spans, hashlib.sha256(c.data[a:b][~own].tobytes()).hexdigest())
+                    result[i] = (int(own.sum()), spans, hashlib.sha256(f.data[a:b][~own].tobytes()).hexdigest())
         nothing = hashlib.sha256(b"").hexdigest()
         out = [(len(t), 1, nothing) if i in copies else result.get(i) or (0, 0, hashlib.sha256(t).hexdigest()) for i, t in enumerate(texts)]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
