@@ -1,0 +1,264 @@
+"""Each operator against a brute-force version, with nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linkloom.llm import decontamination, fingerprints, html, minhash, mixing, pii, quality, sharding, suffixes, tokens, wavelet
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, part int, s string, key string"
+
+
+def frame(spark, texts, ids=None):
+    """Documents with extra columns whose names the operators use inside."""
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", f"src{(i or 0) % 3}", len(t or ""), "x", 1, "y", "z") for i, t in zip(ids, texts, strict=True)], SCHEMA).repartition(3)
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(["ba", "di", "ko", "lu", "me", "na", "ro", "ti", "vi", "za"]) + r.choice(["an", "el", "is", "or", "um"]) * r.randint(1, 3) for _ in range(n))
+
+
+def corpus():
+    base = [prose(80, i) for i in range(12)]
+    near = []
+    for i in range(90):  # a dense region: copies of one text with a word or more changed
+        w = base[0].split()
+        for _ in range(i % 6):
+            w[random.Random(i * 7 + _).randrange(len(w))] = f"x{i}{_}"
+        near.append(" ".join(w))
+    return [*base, *near, base[1], base[1].upper(), base[2] + " more", None, "", "word", "WORD", " \n ", "a b", "é ü\xa0b", prose(9000, 99), "junk " * 500]
+
+
+def test_minhash_against_all_pairs(spark):
+    texts = corpus()
+    ids = [5 * i + 3 for i in range(len(texts))]
+    for k in (2, 5):
+        sets = [set(s.tolist()) for s in (minhash.shingles((t or "").encode(), k)[0] for t in texts)]
+        up = {i: i for i in ids}
+
+        def find(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a in range(len(ids)):
+            for b in range(a):
+                both = len(sets[a] & sets[b])
+                if sets[a] and sets[b] and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    x, y = sorted((find(ids[a]), find(ids[b])))
+                    up[y] = x
+        rows = minhash.near_duplicates(frame(spark, texts, ids), k).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows} == {i: (len(s), find(i), find(i) == i) for i, s in zip(ids, sets, strict=True)}
+
+
+def test_minhash_repeats_nulls_and_nothing(spark):
+    rows = minhash.near_duplicates(frame(spark, ["a b c", "a b c", "a b c", None], [1, 1, None, 7])).collect()
+    assert len(rows) == 4 and {(r.doc_id, r.component_id, r.kept) for r in rows} == {(1, 1, True), (None, None, False), (7, 7, True)}
+    assert minhash.near_duplicates(frame(spark, [])).count() == 0
+    kept = minhash.deduplicated(frame(spark, ["a b c", "a b c"]))
+    assert [r.doc_id for r in kept.collect()] == [0] and len(kept.columns) == 9
+
+
+def removed(texts, ids):
+    out, seen = {}, {}
+    for i, t in zip(ids, texts, strict=True):
+        b = (t or "").encode()
+        if i is not None:
+            for p in range(len(b) - 49):
+                seen[b[p : p + 50]] = min(i, seen.get(b[p : p + 50], i))
+    for i, t in zip(ids, texts, strict=True):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - 49):
+            if i is not None and seen[b[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        out.setdefault(i, []).append((len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_suffixes_against_every_string(spark, monkeypatch):
+    texts = corpus() + ["x" * 49, "x" * 50, "x" * 51, "y" * 120 + prose(30, 3) + "z" * 60, "q" + prose(30, 3)]
+    ids = [3 * ((7 * i) % len(texts)) for i in range(len(texts))] if len(texts) % 7 else list(range(len(texts)))
+    ids[4] = None
+    for size in (suffixes.BLOCK_BYTES, 2000):
+        monkeypatch.setattr(suffixes, "BLOCK_BYTES", size)
+        got = {}
+        for r in suffixes.repeats_removed(frame(spark, texts, ids)).collect():
+            got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+        assert {k: sorted(v) for k, v in got.items()} == removed(texts, ids)
+    assert suffixes.repeats_removed(frame(spark, [])).count() == 0
+
+
+PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><div class="header">Site</div><ul class="menu"><li><a href="/">Home</a></li></ul>
+<div id="content"><h1>Head &amp; line</h1><p>First paragraph, with commas, and <b>bold</b> text that is long enough.<p>Second&nbsp;one,
+over two lines<br>and a break, also long enough.</p></div><div class="comments"><p>A reader writes, at length, with commas, that this is all wrong, of course.</p></div><footer>Copyright, all of it</footer>"""
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (PAGE, "Head & line\n\nFirst paragraph, with commas, and bold text that is long enough.\n\nSecond one, over two lines and a break, also long enough."),
+        (None, ""), ("", ""), ("<p>", ""), ("<<<>>&&", "<<<>>&&"), ("plain words, no markup at all", "plain words, no markup at all"), ("<div>" * 3000 + "deep down, but still found", "deep down, but still found"),
+        ("<nav><p>only a menu, with commas, is here on this page</p></nav>", ""),
+    ],
+)
+def test_main_text(page, text):
+    assert html.main_text(page) == text
+
+
+def test_extracted_keeps_columns(spark):
+    out = html.extracted(spark.createDataFrame([(1, PAGE, "old"), (2, None, "old")], "page_id long, html string, text string"))
+    assert out.columns == ["page_id", "html", "text"] and sorted(len(r.text) for r in out.collect())[0] == 0
+
+
+def leaks(texts, items):
+    cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    out = set()
+    for i, item in items:
+        w = cut(item)
+        k = min(5, len(w))
+        bag = lambda x: Counter(tuple(x[a : a + k]) for a in range(len(x) - k + 1))  # noqa: B023, E731
+        mine = bag(w) if w else Counter()
+        for d, t in enumerate(texts):
+            v = cut(t)
+            for at in range(-len(w), len(v)) if w else []:
+                other = bag(v[max(at, 0) : max(at + len(w), 0)])
+                every = mine | other
+                size = lambda c: sum(n * len("".join(s)) for s, n in c.items())
+                if every and size(mine & other) >= 0.8 * size(every):
+                    out.add((d, i))
+    return out
+
+
+def test_decontamination_against_every_window(spark):
+    item, other = prose(40, 501), prose(22, 502)
+    w = item.split()
+    texts = [f"{prose(50, 1)} {item.upper()}! {prose(30, 2)}", item, " ".join(w[:39]), " ".join([*w[:20], "new", *w[20:]]), " ".join([*w[:38], "x", "y"]), " ".join(w[:20]), f"{other}, {other} {item}", None, "", "solo", "some solo words", f"a {' '.join(w[3:])} b", prose(3000, 5) + " " + item]
+    items = [(1, item), (2, other), (3, "solo"), (4, None), (5, "--"), (1, item)]
+    got = decontamination.matches(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == leaks(texts, items) and len(got) == len({(r.doc_id, r.item_id) for r in got})
+    blocks = decontamination.matches(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string"), block=20)
+    assert {(r.doc_id, r.item_id) for r in blocks.collect()} == {(r.doc_id, r.item_id) for r in got}
+    clean = decontamination.decontaminated(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in leaks(texts, items)}
+    assert decontamination.matches(frame(spark, texts), spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_shards(spark):
+    rows = sharding.shard(frame(spark, [None, "", "é", "a", "a", *map(str, range(200))], [None, None, 1, 1, *range(2, 203)]), 5).collect()
+    assert len(rows) == 205
+    for k in range(5):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
+    assert all(r.grown_shard in (r.shard, 5) for r in rows) and any(r.grown_shard == 5 for r in rows)
+    assert {(r["size"], r.text_crc32) for r in rows if r.doc_id == 1} == {(3, zlib.crc32("é".encode())), (2, zlib.crc32(b"a"))}
+    assert {r["size"] for r in rows if r.doc_id is None} == {1} and sharding.shard(frame(spark, [])).count() == 0
+    n = Counter(r["s"] for r in spark.range(20000).select(sharding.rendezvous(F.col("id"), [1.0, 3.0]).alias("s")).collect())
+    assert 2.7 < n[1] / n[0] < 3.3
+
+
+def test_quality(spark):
+    good, bad = [prose(60, i) for i in range(120)], [" | ".join(prose(40, i).upper().split()) + "!!" for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i < 120)) for i in range(240)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    docs = frame(spark, [*good, *bad, None, ""])
+    model = quality.fit_on(docs, labels)
+    rows = {r.doc_id: r for r in quality.scored(docs, model).withColumn("out", quality.held_out(F.col("doc_id"))).collect()}
+    assert len(rows) == 242 and all(0 <= r.score <= 1 for r in rows.values()) and rows[240].score == rows[241].score
+    held = [r for r in rows.values() if r.out and r.doc_id < 240]
+    assert held and all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in held)
+    assert sum(r.predicted == (r.doc_id < 120) for r in held) / len(held) > 0.95
+    assert quality.scored(docs, quality.fit_on(docs, labels.limit(0))).count() == 242
+
+
+def test_edited_fingerprints(spark):
+    texts = ["", None, "é", "ab", prose(50, 1), prose(50, 1), prose(4000, 2), "zz"]
+    rows = {r.doc_id: r for r in fingerprints.edited_fingerprints(frame(spark, texts)).collect()}
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[(i + 1) % len(texts)] or ""
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        assert rows[i].n_chars == len(t) and rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert rows[i].edited_fingerprint == fingerprints.text_of(fingerprints.sketch(edited.encode()))
+        assert rows[i].near_next == fingerprints.likeness(fingerprints.sketch(t.encode()), fingerprints.sketch(after.encode()))
+    assert rows[4].fingerprint == rows[5].fingerprint and rows[4].near_next == 1.0 and rows[0].near_next == 1.0
+    assert fingerprints.edited_fingerprints(frame(spark, [])).count() == 0
+    whole, part = fingerprints.sketch(texts[6].encode()), fingerprints.sketch(texts[6].encode()[:2000])
+    assert fingerprints.containment(part, whole) > 0.98 and len(fingerprints.merged(part, whole)) <= len(whole) + 1
+    assert (fingerprints.parsed(fingerprints.text_of(whole)) == whole).all()
+
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def base_spans(t):
+    def good(kind, m):
+        d = re.sub("[^0-9]", "", m)
+        luhn = sum((2 * x - 9 if x > 4 else 2 * x) if i % 2 else x for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
+        return {"email": True, "ip": all(int(x) <= 255 for x in m.split(".")) if kind == "ip" else 0, "card": 13 <= len(d) <= 19 and luhn, "phone": 9 <= len(d) <= 15}[kind]
+
+    return [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, t) if good(k, m.group())]
+
+
+def test_pii_against_plain_patterns(spark):
+    texts = [
+        None, "", "é a.b@c.d_e@f.g 😀 x@y.z@w.v a@b", "1.2.3.4.5.6.7.8 256.1.1.1 007.0.0.255 1.2.3", "4111 1111 1111 1111, 4111-1111-1111-1112 5500000000000004 1" + "0" * 30, "+1 (136) 555-7479 +12 +1-2-3-4-5-6-7-8-9. ++49 30 1234567 +1 234 567 89 )( 0",
+        "call 555-123-4567 and 555-123-4568 later " + "x" * 60 + " 212 555 0000", "IBAN DE89 3704 0044 0532 0130 00; GB82WEST12345698765432 DE88370400440532013000", "ssn 123-45-6789", "9" * 5000 + "@" + "8" * 5000, "1-" * 6000 + "1", "mail a@b.co " * 700,
+    ]
+    rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii] for r in pii.pii_spans(frame(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert [s for s in rows[i] if s[0] in BASE] == base_spans(t or ""), i
+    assert [s[0] for s in rows[6]] == ["local_phone", "local_phone"] and [s[0] for s in rows[7] if s[0] == "iban"] == ["iban", "iban"] and rows[8] == [("ssn", 4, 15)]
+    hidden = pii.pii_spans(frame(spark, ["me a@b.co, 😀 1.2.3.4!"])).select(pii.redacted(F.col("text"), F.col("pii"))).first()[0]
+    assert hidden == "me <email>, 😀 <ip>!"
+
+
+def test_wavelet_matrix():
+    x = np.random.default_rng(1).integers(0, 50, 3000)
+    x[:5] = [0, 65535, 2, 2, 1]
+    f = wavelet.WaveletFile(wavelet.build(x, [4, None], [5, 2995]))
+    assert (f.ids() == x).all() and f.doc_ids == [4, None] and f.document(0).tolist() == x[:5].tolist()
+    for i in (0, 1, 2, 77, 2999):
+        n = int((x[:i] == x[i]).sum())
+        assert f.access(i) == x[i] and f.rank(int(x[i]), i) == n and f.select(int(x[i]), n) == i
+    assert f.count(2) == (x == 2).sum() and f.count(40000) == 0
+    assert wavelet.WaveletFile(wavelet.build(np.zeros(0, np.int64), [], [])).ids().tolist() == []
+
+
+def test_token_files(spark):
+    from tokenizers import Tokenizer
+
+    texts = [None, "", "Don't STOP!!'s I'LL ½²x <|endoftext|> Straße", "ﬁ İ 日本語 é \x85a\xa0b\x1cc", prose(700, 1), "x"]
+    ids = [4, 3, None, 1, 0, 1]
+    path = tokens.default_tokenizer()
+    t, at, want = Tokenizer.from_file(path), 0, []
+    order = sorted(range(6), key=lambda i: (ids[i] is not None, ids[i] or 0, (texts[i] or "").encode()))
+    for i in order:
+        own = np.array([*t.encode(texts[i] or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((ids[i], at, len(own), zlib.crc32(own.tobytes())))
+        at += len(own)
+    got = [tuple(r) for r in tokens.token_files(frame(spark, texts, ids)).orderBy("start").collect()]
+    assert got == want and tokens.token_files(frame(spark, [])).count() == 0
+
+
+def test_mixture(spark):
+    docs = frame(spark, [*[prose(5, i) for i in range(300)], None, ""])
+    rows = mixing.mix(docs.withColumn("position", F.lit(1)), weights={"src0": 3, "src1": 1}).collect()
+    assert sorted(r.position for r in rows) == list(range(len(rows))) and {r.source for r in rows} == {"src0", "src1"}
+    mass = Counter()
+    for r in rows:
+        mass[r.source] += len(r.text or "") + 1
+    assert 2.2 < mass["src0"] / mass["src1"] < 4
+    counts = Counter(r.doc_id for r in rows)
+    assert all(r.n_copies == counts[r.doc_id] for r in rows)
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(docs.withColumn("position", F.lit(1)), weights={"src0": 3, "src1": 1}).collect()))
+    assert mixing.mix(frame(spark, [])).count() == 0
+    many = mixing.counted(frame(spark, ["a", "b"], [0, 3]), total=1000.0).agg(F.avg("n_copies")).first()[0]
+    assert 900 < many < 1100
