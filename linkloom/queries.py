@@ -6,6 +6,7 @@ events and pages stand for a message stream: each event is a sighting of one pag
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -428,7 +429,7 @@ def archived_after_cursor(spark, d):
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_harvest(spark, d):
     folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkloom-")
-    state = f"{folder}/harvest-{spark.sparkContext.applicationId}-{abs(hash((d, tempfile.mktemp())))}"
+    state = f"{folder}/harvest-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     return harvested(spark, d, "events.parquet", schema, state).select("event_id", "user_id", "event_type")
 
