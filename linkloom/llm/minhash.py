@@ -107,6 +107,19 @@ def _near(ids: np.ndarray, sig: np.ndarray, least: int, out: list) -> None:
             out.append((np.minimum(other, ids[i]), np.maximum(other, ids[i]), near[hit]))
 
 
+def _best(ids: np.ndarray, sig: np.ndarray, least: int, out: list) -> None:
+    """The nearest two of each of at most DENSE documents, if near enough."""
+    near = np.count_nonzero(sig[:, None, :] == sig[None, :, :], axis=2)
+    np.fill_diagonal(near, -1)
+    for _ in range(min(2, len(ids) - 1)):
+        j = near.argmax(axis=1)
+        n = near[np.arange(len(ids)), j]
+        hit = np.flatnonzero(n >= least)
+        if len(hit):
+            out.append((np.minimum(ids[hit], ids[j[hit]]), np.maximum(ids[hit], ids[j[hit]]), n[hit]))
+        near[np.arange(len(ids)), j] = -1
+
+
 def _pair_batch(out: list) -> pa.RecordBatch:
     a, b, n = (np.concatenate(x) for x in zip(*out, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], ["a", "b", "near"])
@@ -128,15 +141,16 @@ def _near_pairs(groups: DataFrame, spark: SparkSession, least: int) -> DataFrame
 
 def _dense_pairs(dense: DataFrame, spark: SparkSession, least: int) -> DataFrame:
     """The same for rows (front, sig, doc_id) of dense regions: a sorted order of the signatures is cut into ranges, and in each
-    range neighbours are those with the longest common prefixes: all of a prefix that at most DENSE documents share, and the
-    first and each other one where even the longest prefix is shared by more. Ranges cut regions wherever they fall."""
+    range neighbours are those with the longest common prefixes: the nearest two of each document under a prefix that at most DENSE documents
+    share, and the first and each other one where even the longest prefix is shared by more. Ranges cut regions wherever they
+    fall; all other links of a region are found in blocks."""
 
     def split(t: np.ndarray, ids: np.ndarray, depth: int, out: list) -> None:
         stack = [(0, len(ids), depth)]
         while stack:
             lo, hi, depth = stack.pop()
             if hi - lo <= DENSE:
-                _near(ids[lo:hi], t[lo:hi], least, out)
+                _best(ids[lo:hi], t[lo:hi], least, out)
             elif depth == DEEPEST:
                 near = np.count_nonzero(t[lo + 1 : hi] == t[lo], axis=1)
                 hit = np.flatnonzero(near >= least)
@@ -150,7 +164,8 @@ def _dense_pairs(dense: DataFrame, spark: SparkSession, least: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches):
             out: list = []
-            split(np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1), np.array([r[2] for r in rows], np.int64), 0, out)
+            if len(rows) > 1:
+                split(np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1), np.array([r[2] for r in rows], np.int64), 0, out)
             if out:
                 yield _pair_batch(out)
 
