@@ -294,19 +294,15 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
         shared = known(ids, texts, searched(places), answers)
         keys, least = gathered(_strings(ids, texts, searched(places), shared))
         yield _sent(keys, least, block, BITS, n)
-        if len(shared):
-            # the shared seeds come along, to be known again in the last step
-            yield pa.RecordBatch.from_pydict({"part": pa.array([-1], pa.int32()), "block": [block], "data": pa.array([_packed(shared, None)], pa.binary())})
 
     def last(block: str, places: list[int], answers: list[dict]) -> Iterator[pa.RecordBatch]:
         fs, _base = filesystem(folder)
         ids, texts = _read(fs, block)
-        seeds = [r for r in answers if r["part"] < 0]
-        shared = _unpacked(seeds[0]["mask"])[0] if seeds else np.zeros(0, _U)
         mine, copies = searched(places), {-1 - p for p in places if p < 0}
+        shared = known(ids, texts, mine, [r for r in answers if r["part"] < n])
         found = _strings(ids, texts, mine, shared)
         keys, least = gathered(found)
-        earlier = _mask([r for r in answers if r["part"] >= 0], keys, BITS, n)
+        earlier = _mask([r | {"part": r["part"] - n} for r in answers if r["part"] >= n], keys, BITS, n)
         result: dict[int, tuple] = {}
         for f in found:
             cover = np.zeros(len(f.data) + 1, np.int32)
@@ -327,9 +323,10 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
 
     sends = "part int, block string, data binary"
     seeds = written(_answered(_by_block(blocks, None, n, first, sends), n), "seeds")
-    sent = written(_by_block(blocks, seeds, n, second, sends), "strings")
-    answers = _answered(sent.where("part >= 0"), n).unionByName(sent.where("part < 0").select("block", "part", F.col("data").alias("mask")))
-    return _by_block(blocks, written(answers, "answers"), n, last, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    # hashes of strings move once and aren't kept; the last step gets both answers, those for strings with parts from n on
+    found = written(_answered(_by_block(blocks, seeds, n, second, sends), n), "answers")
+    answers = seeds.unionByName(found.withColumn("part", (F.col("part") + n).cast("int")))
+    return _by_block(blocks, answers, n, last, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
