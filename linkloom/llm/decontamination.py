@@ -14,6 +14,8 @@ from ._util import let, table, written
 WORDS, SIMILAR, BITS, RADIUS = 5, 0.8, 64, 21
 #: Shingles of the benchmark that are broadcast at a time, about 40 bytes each; a larger benchmark is taken in such blocks.
 BLOCK = 200_000
+#: What rounding may take from a product of a similarity and a weight.
+SLACK = 1e-6
 
 
 def words(text: Column) -> Column:
@@ -88,16 +90,16 @@ def items_of(benchmark: DataFrame, k: int | None, key: str = "item_id", text: st
 
 
 def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(doc_id, item_id, m, s, weight, win, base): where documents share a shingle with an item: the place s in words where
-    the item would start, the weight of shared shingles with that place, and the words around."""
+    """(doc_id, item_id, m, s, weight, base, win, places): where documents share a shingle with an item: the place s in words where
+    the item would start, the weight of shared shingles with that place, the words around and where those shingles are."""
     shingles = items.select("item_id", "m", F.posexplode("pairs").alias("off", "p")).select("item_id", "m", "off", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
     both = let(words(F.col("text")), lambda w: F.struct(w.alias("w"), let(_hashed(w), lambda h: _shingles(h, k)).alias("s")))
     rows = docs.select("doc_id", both.alias("d")).select("doc_id", F.col("d.w").alias("_w"), F.posexplode("d.s").alias("pos", "h"))
     # the caller keeps the shingles below BLOCK
     found = rows.join(F.broadcast(shingles), "h").withColumn("s", F.col("pos") - F.col("off"))
     base = F.greatest(F.col("s") - F.col("m"), F.lit(0))
-    near = found.select("doc_id", "item_id", "m", "s", "w", base.alias("base"), F.slice("_w", base + 1, F.col("m") * 3).alias("win"))
-    return near.groupBy("doc_id", "item_id", "m", "s").agg(F.sum("w").alias("weight"), F.min("base").alias("base"), F.first("win").alias("win"))
+    near = found.select("doc_id", "item_id", "m", "s", "pos", "w", base.alias("base"), F.slice("_w", base + 1, F.col("m") * 3).alias("win"))
+    return near.groupBy("doc_id", "item_id", "m", "s").agg(F.sum("w").alias("weight"), F.min("base").alias("base"), F.first("win").alias("win"), F.collect_set(F.struct("pos", "w")).alias("places"))
 
 
 def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius: int) -> DataFrame:
@@ -107,15 +109,18 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius:
     by = Window.partitionBy("doc_id", "item_id", "m")
     # a window that reaches the similarity shares at least that part of the item's weight
     able = hits.withColumn("shared", F.sum("weight").over(by)).join(F.broadcast(weighed.withColumnRenamed("item_id", "_i")), (F.col("item_id") == F.col("_i")) & (F.col("m") == F.col("_m"))).where(F.col("shared") >= F.lit(similar) * F.col("all"))
-    # shared weight can only peak at such places or between two of them; a window beside them may hold less that isn't shared,
-    # but no further away than the weight that it may lose
-    after = F.lead("s").over(by.orderBy("s"))
-    last = F.when((after - F.col("s")) <= F.col("m"), after - 1).otherwise(F.col("s"))
-    aside = F.ceil(F.col("m") * F.lit(1 - similar) / 2).cast("int") + 1
-    starts = able.withColumn("last", last).withColumn("t", F.explode(F.sequence(F.col("s") - aside, F.greatest(F.col("last"), F.col("s") + aside)))).where(F.col("t") + F.col("m") > 0)
+    # a window that holds a shared shingle starts at most m - k words beside the place where that shingle puts the item
+    reach = F.col("m") - k
+    starts = able.withColumn("t", F.explode(F.sequence(F.col("s") - reach, F.col("s") + reach))).where(F.col("t") + reach >= 0)
+    inside = F.filter("places", lambda p: p["pos"].between(F.col("t"), F.col("t") + reach))
     win = F.slice("win", F.greatest(F.col("t"), F.lit(0)) - F.col("base") + 1, F.col("m") + F.least(F.col("t"), F.lit(0)))
-    window = starts.select("doc_id", F.col("item_id").alias("seen"), "m", F.greatest(F.col("t"), F.lit(0)).alias("start"), win.alias("_w"))
-    window = window.select("doc_id", "seen", "m", "start", F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs")).where(F.size("pairs") > 0)
+    tried = starts.select("doc_id", "item_id", "m", "all", "t", F.aggregate(inside, F.lit(0).cast("long"), lambda n, p: n + p["w"]).alias("held"), win.alias("_w")).where("held > 0")
+    # held is at least the weight that window and item share, so none that is similar goes
+    tried = tried.groupBy("doc_id", "item_id", "m", "all", "t").agg(F.sum("held").alias("held"), F.first("_w").alias("_w")).where(F.col("held") >= F.lit(similar) * F.col("all") - SLACK)
+    whole = F.aggregate(_weights(F.transform("_w", lambda x: F.length(x)), k), F.lit(0), lambda n, w: n + w)
+    most = F.least("held", "all", "whole")
+    tried = tried.withColumn("whole", whole).where(most >= F.lit(similar) * (F.col("all") + F.col("whole") - most) - SLACK)
+    window = tried.select("doc_id", "m", F.greatest(F.col("t"), F.lit(0)).alias("start"), F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs")).where(F.size("pairs") > 0)
     window = written(window.dropDuplicates(["doc_id", "m", "start", "n_words"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
     marked = items.withColumn("ifp", let(F.col("pairs"), simhash))
     index = marked.select("item_id", "m", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("b")).select("item_id", "m", "ifp", "b.n", "b.bits")

@@ -153,6 +153,20 @@ def test_decontamination_against_every_window(spark):
     assert decontamination.matches(frame(spark, texts), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_of_cut_items(spark):
+    """Items that a document's start or end cuts; words of equal and of unequal lengths."""
+    even = [f"w{i:03d}" for i in range(40)]
+    uneven = ["a" + "abcdefghij"[i % 10] for i in range(26)] + [f"longerword{i:02d}" for i in range(14)]
+    more = [f"z{i:03d}" for i in range(60)]
+    texts = [" ".join(x) for item in (even, uneven) for n in (5, 7, 8, 9, 16) for x in (item[: 40 - n] + more, more + item[n:])]
+    items = [(1, " ".join(even)), (2, " ".join(uneven))]
+    want = leaks(texts, items)
+    assert {(2, 1), (3, 1)} <= want
+    got = decontamination.matches(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert {r.doc_id: (round(r.similarity, 3), r.start_word, r.n_words) for r in got if r.doc_id in (2, 3)} == {2: (0.806, 0, 33), 3: (0.806, 60, 33)}
+
+
 def test_shards(spark):
     rows = sharding.shard(frame(spark, [None, "", "é", "a", "a", *map(str, range(200))], [None, None, 1, 1, *range(2, 203)]), 5).collect()
     assert len(rows) == 205
