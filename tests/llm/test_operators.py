@@ -167,6 +167,11 @@ def test_decontamination_of_cut_items(spark):
     assert {r.doc_id: (round(r.similarity, 3), r.start_word, r.n_words) for r in got if r.doc_id in (2, 3)} == {2: (0.806, 0, 33), 3: (0.806, 60, 33)}
 
 
+def test_decontamination_of_one_word_inside(spark):
+    got = decontamination.matches(frame(spark, ["some more solo words", "none"]), spark.createDataFrame([(1, "solo")], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.start_word, r.n_words) for r in got] == [(0, 1, 2, 1)]
+
+
 def test_shards(spark):
     rows = sharding.shard(frame(spark, [None, "", "é", "a", "a", *map(str, range(200))], [None, None, 1, 1, *range(2, 203)]), 5).collect()
     assert len(rows) == 205
