@@ -549,8 +549,9 @@ _VECRANK = f"SELECT vec_id AS doc_id, row_number() OVER (ORDER BY similarity DES
 
 @query(f"SELECT doc_id, round(coalesce(1.0::DOUBLE / (60 + ra), 0) + coalesce(1.0::DOUBLE / (60 + rb), 0), 9) AS score FROM (SELECT * FROM ({_KEYRANK}) WHERE ra <= 200) FULL JOIN (SELECT * FROM ({_VECRANK}) WHERE rb <= 100) USING (doc_id)")
 def rrf_fusion(spark, d):
-    words = search.ranking(keyword_synonym_search(spark, d), k=200)
-    near = search.nearest(table(spark, d, "embeddings"), query_vectors(spark, d, 1), 100).select(F.col("vec_id").alias("doc_id"), "rank")
+    words = search.ranking(keyword_synonym_search(spark, d))
+    sims = search.similarities(table(spark, d, "embeddings"), query_vectors(spark, d, 1))
+    near = search.numbered(sims, [F.col("similarity").desc(), F.col("vec_id")]).select(F.col("vec_id").alias("doc_id"), "rank")
     return search.fused(words, near).select("doc_id", "score")
 
 
