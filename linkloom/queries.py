@@ -509,8 +509,8 @@ QUERY_VECTORS = "SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE
 _SIMS = f"SELECT query_id, vec_id, round(list_sum(list_transform(list_zip(e.embedding, q.q), lambda p: CAST(p[1] AS DOUBLE) * CAST(p[2] AS DOUBLE))), 6) AS similarity FROM embeddings e CROSS JOIN ({QUERY_VECTORS}) q"
 
 
-def query_vectors(spark, d, n=3):
-    return table(spark, d, "embeddings").where(F.col("vec_id") < n).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+def query_vectors(spark, d):
+    return table(spark, d, "embeddings").where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
 
 
 @query(f"SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM ({_SIMS})) WHERE rank <= 5")
@@ -550,7 +550,7 @@ _VECRANK = f"SELECT vec_id AS doc_id, row_number() OVER (ORDER BY similarity DES
 @query(f"SELECT doc_id, round(coalesce(1.0::DOUBLE / (60 + ra), 0) + coalesce(1.0::DOUBLE / (60 + rb), 0), 9) AS score FROM (SELECT * FROM ({_KEYRANK}) WHERE ra <= 200) FULL JOIN (SELECT * FROM ({_VECRANK}) WHERE rb <= 100) USING (doc_id)")
 def rrf_fusion(spark, d):
     words = search.ranking(keyword_synonym_search(spark, d))
-    sims = search.similarities(table(spark, d, "embeddings"), query_vectors(spark, d, 1))
+    sims = search.similarities(table(spark, d, "embeddings"), query_vectors(spark, d).where("query_id = 0"))
     near = search.numbered(sims, [F.col("similarity").desc(), F.col("vec_id")]).select(F.col("vec_id").alias("doc_id"), "rank")
     return search.fused(words, near).select("doc_id", "score")
 

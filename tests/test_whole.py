@@ -24,3 +24,14 @@ def test_fusion_keeps_every_hit(spark):
     got = {r.doc_id: r.score for r in QUERIES["rrf_fusion"](spark, DATA).collect()}
     assert len(b) > 100 and got.keys() == a.keys() | b.keys()
     assert all(abs(s - sum(1 / (60 + x[i]) for x in (a, b) if i in x)) < 1e-5 for i, s in got.items())
+
+
+def test_every_hundredth_vector_is_a_query(spark, monkeypatch):
+    v = vectors(spark)
+    asked = {i for i in v if i % 100 == 0}
+    for block in (10_000, 2):
+        monkeypatch.setattr(search, "BLOCK", block)
+        got = {(r.query_id, r["rank"]): r.similarity for r in QUERIES["vector_topk"](spark, DATA).collect()}
+        assert len(asked) > 3 and got.keys() == {(q, n) for q in asked for n in range(1, 6)}
+        assert all(abs(s - ranked(v, q)[n - 1][0]) < 2e-6 for (q, n), s in got.items())
+    assert {r.query_id for r in QUERIES["probe_stats"](spark, DATA).collect()} == asked
