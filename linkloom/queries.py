@@ -188,7 +188,7 @@ def handler_route(spark, d):
 
 @query(f"SELECT doc_id, {d_tidy('substr(text, 1, 400)')} AS tidy FROM documents")
 def tidy_desc(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.tidy(F.substring("text", 1, 400)).alias("tidy"))
+    return table(spark, d, "documents").select("doc_id", text.tidy(F.col("text")).alias("tidy"))
 
 
 @query("SELECT doc_id, substr(trim(regexp_replace(regexp_replace(coalesce(text, ''), 'https?://\\S+', ' ', 'g'), '\\s+', ' ', 'g'), ' -–—:•|'), 1, 300) AS said FROM documents")

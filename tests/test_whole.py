@@ -35,3 +35,9 @@ def test_every_hundredth_vector_is_a_query(spark, monkeypatch):
         assert len(asked) > 3 and got.keys() == {(q, n) for q in asked for n in range(1, 6)}
         assert all(abs(s - ranked(v, q)[n - 1][0]) < 2e-6 for (q, n), s in got.items())
     assert {r.query_id for r in QUERIES["probe_stats"](spark, DATA).collect()} == asked
+
+
+def test_tidy_takes_whole_texts(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where(F.length("text") > 500)
+    rows = docs.join(QUERIES["tidy_desc"](spark, DATA), "doc_id").select("text", "tidy").collect()
+    assert rows and all(len(r.tidy) > 402 and r.tidy.rstrip(".")[-20:] == r.text.strip().rstrip(".")[-20:] for r in rows if len(r.text.strip()) > 500)
