@@ -72,11 +72,7 @@ def mix(docs: DataFrame, seed: int = SEED, key: str = "doc_id", **how) -> DataFr
 
 
 def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    slim = counted(docs).select("doc_id", "source", "n_copies")
-    out = slim.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n_copies") - 1).cast("int"))))
-    out = out.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(SEED)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string"))))
-    return numbered(out, [], ["shuffle_key", "doc_id", "copy"], "position").drop("shuffle_key")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_copies", "copy", "position")
 
 
 OP10_SQL = f"""

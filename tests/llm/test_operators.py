@@ -267,6 +267,13 @@ def test_token_files(spark):
     assert got == want and tokens.token_files(frame(spark, [])).count() == 0
 
 
+def test_query_mixes_whole_documents(spark, monkeypatch):
+    held, numbered = [], mixing.numbered
+    monkeypatch.setattr(mixing, "numbered", lambda df, *how: held.append(df.columns) or numbered(df, *how))
+    assert mixing.op10_poisson_mixing(spark, "/root/testdata/sf0.001").columns == ["doc_id", "source", "n_copies", "copy", "position"]
+    assert "text" in held[0]
+
+
 def test_mixture(spark):
     docs = frame(spark, [*[prose(5, i) for i in range(300)], None, ""])
     rows = mixing.mix(docs.withColumn("position", F.lit(1)), weights={"src0": 3, "src1": 1}).collect()
