@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from linkloom.llm._util import table, written
 from linkloom.llm.decontamination import decontaminated
 from linkloom.llm.minhash import deduplicated
-from linkloom.llm.mixing import SEED, mix
+from linkloom.llm.mixing import mix, shuffle_key
 from linkloom.llm.quality import fit_on, scored
 from linkloom.llm.tokens import token_files
 
@@ -46,10 +46,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Wavelet matrix files of the token ids in the mixture's shuffled order, and what is read back from them.
 
-    Rows of a table have no order, so the order comes from the ids again: a hash of doc_id and of the copy's number among its likes.
+    Rows of a table have no order, so the order comes from the ids again: the mixture's own key of seed, doc_id and the copy's number among its likes.
     """
-    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_chars"))
-    return token_files(docs.select("doc_id", "text", "n_chars").withColumn("copy", copy), order=F.xxhash64(F.lit(SEED), "doc_id", "copy"))
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_chars")) - 1
+    return token_files(docs.select("doc_id", "text", "n_chars").withColumn("copy", copy), order=shuffle_key(F.col("doc_id"), F.col("copy")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

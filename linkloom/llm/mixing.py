@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._util import numbered, table, unit
@@ -54,11 +54,16 @@ def counted(docs: DataFrame, weights: dict[str, float] | None = None, alpha: flo
     return joined.withColumn("n_copies", F.when(F.col("_parts") > 1, more).otherwise(drawn(F.col("_u")))).drop("_name", "_u", "_source", "_parts", "_cdf")
 
 
+def shuffle_key(key: Column, copy: Column, seed: int = SEED) -> Column:
+    """The hash that orders the mixture: MD5 of seed, key and copy."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null")), copy.cast("string")))
+
+
 def copies(docs: DataFrame, seed: int = SEED, key: str = "doc_id", **how) -> DataFrame:
     """docs exploded by n_copies, with copy (from 0) and the hash shuffle_key that orders the mixture."""
     out = counted(docs, seed=seed, key=key, **how).where("n_copies > 0")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n_copies") - 1).cast("int"))))
-    return out.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("copy").cast("string"))))
+    return out.withColumn("shuffle_key", shuffle_key(F.col(key), F.col("copy"), seed))
 
 
 def mix(docs: DataFrame, seed: int = SEED, key: str = "doc_id", **how) -> DataFrame:

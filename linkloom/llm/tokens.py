@@ -130,7 +130,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             yield flush()
 
     listed = pa.schema([("file", pa.string()), ("part", pa.int32()), ("piece", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), (F.col(key) if order is None else order).cast("long").alias("order"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), (F.col(key).cast("long") if order is None else order).alias("order"))
     dealt = rows.repartitionByRange(partitions(docs.sparkSession), "order").sortWithinPartitions("order", "key", "text")
     return written(dealt.mapInArrow(write, "file string, part int, piece int, n_docs long, n_tokens long"), "token-files")
 

@@ -31,3 +31,12 @@ def test_stages_hand_on_documents(spark):
     assert len(last) == held.count()
     rows = sorted(last, key=lambda r: r.start)
     assert rows[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
+
+
+def test_token_files_follow_the_mixture(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id is not null").limit(60)
+    mixed = mixing.mix(docs).orderBy("position").collect()
+    path = spark.conf.get("spark.checkpoint.dir") + "/test-order"
+    spark.createDataFrame(mixed).select(*docs.columns).write.mode("overwrite").parquet(path)
+    got = corpus_pipeline.tokens(spark, spark.read.parquet(path), DATA).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in mixed] and len(got) > len({r.doc_id for r in got})
