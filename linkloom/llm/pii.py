@@ -14,7 +14,6 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Patterns of the kinds that the method adds.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
 LOCAL_PHONE = r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
@@ -29,6 +28,9 @@ IBAN_LENGTHS = {
     "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29,
     "VA": 22, "VG": 24, "XK": 20,
 }
+# Each country's IBAN at its own length, so that words which follow aren't part of it.
+_BY_LENGTH = {n: "|".join(sorted(k for k, v in IBAN_LENGTHS.items() if v == n)) for n in sorted(set(IBAN_LENGTHS.values()))}
+IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in _BY_LENGTH.items()) + r")(?![A-Za-z0-9])"
 # Words that speak for a kind when they stand nearby.
 CONTEXT = {
     "email": r"\b(?:e-?mail|mail|contact|write|correo|courriel)\b",

@@ -239,6 +239,12 @@ def test_pii_against_plain_patterns(spark):
     assert hidden == "me <email>, 😀 <ip>!"
 
 
+def test_iban_before_capitals(spark):
+    texts = ["pay DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "GB82WEST12345698765432 2024 NO9386011117947 A", "DE89370400440532013000A DE8937040044053201300"]
+    got = {r.doc_id: [(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in pii.pii_spans(frame(spark, texts)).collect()}
+    assert got == {0: [(4, 31)], 1: [(0, 22), (28, 43)], 2: []}
+
+
 def test_wavelet_matrix():
     x = np.random.default_rng(1).integers(0, 50, 3000)
     x[:5] = [0, 65535, 2, 2, 1]
