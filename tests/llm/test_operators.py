@@ -95,9 +95,43 @@ def test_suffixes_against_every_string(spark, monkeypatch):
         for r in suffixes.repeats_removed(frame(spark, texts, ids)).collect():
             got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
         assert {k: sorted(v) for k, v in got.items()} == removed(texts, ids)
+        got = {}
+        for r in suffixes.repeats_removed(frame(spark, texts, ids), hot=30).collect():
+            got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+        assert {k: sorted(v) for k, v in got.items()} == removed(texts, ids)
     assert suffixes.repeats_removed(frame(spark, [])).count() == 0
 
 
+def test_suffixes_of_one_length(spark):
+    """Periodic texts, texts that differ in one byte, and a text that holds another."""
+    r = random.Random(8)
+    base = prose(60, 77)
+    texts = ["ab" * 200, "b" + "ab" * 100, "a" * 500, "a" * 70, *[base[:k] + "#" + base[k + 1 :] for k in range(0, len(base), 9)], base[40:200], "".join(r.choice("ab") for _ in range(3000))]
+    ids = list(range(len(texts)))
+    got = {r.doc_id: [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)] for r in suffixes.repeats_removed(frame(spark, texts, ids)).collect()}
+    assert got == removed(texts, ids)
+
+
+def test_suffix_order():
+    """The mergesort's order is that of the bytes, also where hashes mislead it."""
+    r = random.Random(3)
+    data = np.frombuffer("".join(r.choice("ab") for _ in range(400)).encode() * 3 + b"ab" * 60, np.uint8)
+    at = np.arange(len(data) - suffixes.SPAN)
+    group = np.sort(np.array([r.randrange(5) for _ in at]))
+    raw = data.tobytes()
+    want = sorted(range(len(at)), key=lambda i: (group[i], raw[at[i] : at[i] + suffixes.SPAN], i))
+    s = suffixes.Suffixes(data)
+    assert s.sort(at, group).tolist() == want
+    order, new = s.classes(at, group)
+    string = [(group[i], raw[at[i] : at[i] + suffixes.SPAN]) for i in order]
+    assert [bool(x) for x in new] == [True, *[a != b for a, b in zip(string, string[1:])]]
+    s.prefix = np.zeros_like(s.prefix)  # every hash collides
+    order, again = s.classes(at, group)
+    assert [(group[i], raw[at[i] : at[i] + suffixes.SPAN]) for i in order] == string and (again == new).all()
+    first = suffixes.distinct(data, at[:300], np.ones(300, np.int64), np.zeros(300, np.uint64), np.zeros(300, np.uint64))[1]
+    assert first.sum() == len({raw[a : a + suffixes.SPAN] for a in at[:300]})
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><div class="header">Site</div><ul class="menu"><li><a href="/">Home</a></li></ul>
 <div id="content"><h1>Head &amp; line</h1><p>First paragraph, with commas, and <b>bold</b> text that is long enough.<p>Second&nbsp;one,
 over two lines<br>and a break, also long enough.</p></div><div class="comments"><p>A reader writes, at length, with commas, that this is all wrong, of course.</p></div><footer>Copyright, all of it</footer>"""
