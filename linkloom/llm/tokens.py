@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -13,82 +12,151 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import wavelet
+from . import hashing, wavelet
 from ._util import filesystem, new_folder, partitions, small_batches, table, written
 
 #: Ids of a file at most, unless a single document has more: what a task holds at a time.
 FILE_TOKENS = 1 << 22
-#: Pieces that a worker remembers.
-REMEMBERED = 1 << 20
-
-#: The tokenizer's own split, for lower-cased text of Latin-1 only: letters and digits are those of that range.
-_LETTERS, _DIGITS, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t\n\v\f\r \x85\xa0"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+")
-
-
-class WordEncoder:
+#: Pieces that a worker remembers, about 40 bytes each.
+REMEMBERED = 1 << 22
+
+# The tokenizer's own split, for lower-cased text of Latin-1, where a code point is a byte: runs of letters, single digits, runs of other signs.
+_SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
+_LATIN = bytes(range(256)).decode("latin-1")
+_CLASSES = np.array([_LETTER if c.isalpha() else _DIGIT if c.isnumeric() else _SPACE if c in "\t\n\v\f\r \x85\xa0" else _OTHER for c in _LATIN], np.uint8)
+_LOWER = bytes(ord(c.lower()) for c in _LATIN)
+# A byte's sign in the tokenizer's vocabulary: itself where it is printable, else the next beyond Latin-1.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_SIGNS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + n) for n, b in enumerate(x for x in range(256) if x not in set(_SHOWN))}
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+_U = np.uint64
+
+
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the pieces of lower-cased Latin-1 bytes that end with eight blanks. An apostrophe that begins a run takes s, t, re, ve, m, ll or d with it."""
+    kind = _CLASSES[data]
+    begins = kind != _SPACE
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    starts = np.flatnonzero(begins)
+    ends = kind != _SPACE
+    ends[:-1] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    stops = np.flatnonzero(ends) + 1
+    quote = np.flatnonzero(data[starts] == 39)
+    if len(quote):
+        at = starts[quote]
+        one, two = data[at + 1], data[at + 2]
+        size = np.where(np.isin(one, np.frombuffer(b"stmd", np.uint8)), 1, np.where(((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108), 2, 0))
+        # the run of signs is the apostrophe alone, and the letters after it are the next run
+        hit = np.flatnonzero((size > 0) & (stops[quote] == at + 1))
+        quote, size = quote[hit], size[hit]
+        stops[quote] += size
+        starts[quote + 1] += size
+        keep = starts < stops
+        starts, stops = starts[keep], stops[keep]
+    return starts, stops - starts
+
+
+class PieceEncoder:
     """Encodes whole texts by their pieces, whose ids are remembered: no token crosses a piece.
 
-    Texts in Latin-1 are lower-cased and cut as the tokenizer does it. Others are cut at ASCII white space, which the tokenizer
-    drops, and their words go to it as they are; so do texts that may hold one of its special tokens.
+    Texts in Latin-1 are lower-cased and cut for a whole batch at once. Others go to the tokenizer as they are, and so do texts that may hold one
+    of its special tokens. Pieces are looked up by a hash of 64 bits and told apart by their length, first and last eight bytes.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = token.endswith("</w>")
-        self.known: dict[str | bytes, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, fresh: list[str | bytes]) -> None:
-        """A piece is one to the tokenizer too, so its ids end with the first that ends a word."""
-        pieces, words = [x for x in fresh if isinstance(x, str)], [x for x in fresh if isinstance(x, bytes)]
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
-            (found,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part) and ends[-1] == len(ids):
-                raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                self.known.update((x, raw[a:b]) for x, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
-            else:
-                self.known.update(zip(part, self._encoded(part), strict=True))
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            self.known.update(zip(part, self._encoded([w.decode() for w in part]), strict=True))
-
-    def _cut(self, text: bytes) -> list[str] | list[bytes]:
-        whole = text.decode()
-        try:
-            whole.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split()
-        return text.split() if "<|" in whole else _PIECE.findall(whole.lower())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, _U), np.zeros(0, _U)
+        self.at, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+
+    def _tokenized(self, piece: bytes) -> list[int]:
+        signs = piece.decode() if piece.isascii() and piece.isalpha() else "".join(map(_SIGNS.__getitem__, piece.decode("latin-1").encode()))
+        return [t.id for t in self.tokenizer.model.tokenize(signs)]
+
+    def _places(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool each piece's ids are, and how many."""
+        words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        head = words[starts] & _MASKS[np.minimum(lengths, 8)]
+        tail = words[starts + np.maximum(lengths - 8, 0)] & _MASKS[np.minimum(lengths, 8)]
+        checks = hashing.mixed(head + tail * _U(0x9E3779B97F4A7C15) + lengths.astype(_U))
+        one, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        if (checks != checks[first][inverse]).any():
+            raise ValueError("two pieces share a hash")
+
+        def known() -> tuple[np.ndarray, np.ndarray]:
+            slot = np.minimum(np.searchsorted(self.keys, one), max(len(self.keys) - 1, 0))
+            return slot, self.keys[slot] == one if len(self.keys) else np.zeros(len(one), bool)
+
+        slot, has = known()
+        if not has.all():
+            if len(self.keys) + np.count_nonzero(~has) > REMEMBERED:
+                self._forget()
+                has[:] = False
+            fresh = np.flatnonzero(~has)
+            a, n = starts[first[fresh]].tolist(), lengths[first[fresh]].tolist()
+            raw = data.tobytes()
+            ids = [self._tokenized(raw[x : x + k]) for x, k in zip(a, n, strict=True)]
+            sizes = np.array([len(x) for x in ids], np.int64)
+            at = len(self.pool) + np.cumsum(sizes) - sizes
+            self.pool = np.concatenate([self.pool, np.array([t for x in ids for t in x], np.uint32)])
+            keys = np.concatenate([self.keys, one[fresh]])
+            order = np.argsort(keys, kind="stable")
+            self.keys = keys[order]
+            self.checks, self.at, self.sizes = (np.concatenate(x)[order] for x in ((self.checks, checks[first[fresh]]), (self.at, at), (self.sizes, sizes)))
+            slot, has = known()
+        if (self.checks[slot] != checks[first]).any():
+            raise ValueError("two pieces share a hash")
+        return self.at[slot][inverse], self.sizes[slot][inverse]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [self._cut(t) for t in texts]
-        every = set().union(*cut)
-        fresh = every.difference(self.known)
-        if fresh and len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = every
-        self._learn(list(fresh))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, x)), "<u4") for x in cut]
+        plain: list[bytes] = []
+        out: list[np.ndarray | None] = []
+        for text in texts:
+            latin = text
+            if not text.isascii():
+                try:
+                    latin = text.decode().encode("latin-1")
+                except UnicodeEncodeError:
+                    latin = None
+            if latin is None or b"<|" in latin:
+                out.append(self._whole(text))
+            else:
+                out.append(None)
+                plain.append(latin.translate(_LOWER))
+        if not plain:
+            return out
+        data = np.frombuffer(b"".join(x + b" " for x in plain) + b" " * 8, np.uint8)
+        starts, lengths = pieces(data)
+        ends = np.cumsum([len(x) + 1 for x in plain])
+        prefix = hashing.prefixes(data)
+        keys = hashing.mixed((prefix[starts + lengths] - prefix[starts]) * hashing.powers(len(data), hashing.INVERSE, "down")[starts] + lengths.astype(_U) * _U(0xD6E8FEB86659FD93))
+        try:
+            at, sizes = self._places(data, starts, lengths, keys)
+        except ValueError:  # never seen: the tokenizer does the batch
+            own = iter([self._whole(t) for t, o in zip(texts, out, strict=True) if o is None])
+            return [next(own) if o is None else o for o in out]
+        total = np.cumsum(sizes)
+        ids = self.pool[np.arange(total[-1] if len(total) else 0) + np.repeat(at - (total - sizes), sizes)]
+        cuts = np.concatenate([[0], total])[np.searchsorted(starts, ends)]
+        own = iter(np.split(ids, cuts[:-1]))
+        return [next(own) if o is None else o for o in out]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> PieceEncoder:
     """This process's encoder for the tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
 

@@ -41,7 +41,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], counts: list[int], levels:
         cuts = range(0, len(x), BLOCK)
         ones = [0, *np.cumsum([np.count_nonzero(one[c : c + BLOCK]) for c in cuts]).tolist()]
         planes.append({"blocks": [put(pack.compress(bits[c // 8 : (c + BLOCK) // 8])) for c in cuts], "ones": ones})
-        x = np.concatenate([x[~one], x[one]])
+        x = np.concatenate([np.compress(~one, x), np.compress(one, x)])
     known = np.array([d is not None for d in doc_ids], np.uint8)
     keys = np.array([0 if d is None else d for d in doc_ids], "<i8")
     head = {
@@ -62,6 +62,7 @@ class WaveletFile:
         self.head = json.loads(data[12 : 12 + n])
         self._body = memoryview(data)[12 + n :]
         self._unpack = zstandard.ZstdDecompressor()
+        self._blocks: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.tokens, self.levels, self.planes = self.head["tokens"], self.head["levels"], self.head["planes"]
         known = np.frombuffer(self._part(self.head["known"]), np.uint8)
         self.doc_ids = [int(d) if k else None for d, k in zip(np.frombuffer(self._part(self.head["doc_ids"]), "<i8"), known, strict=True)]
@@ -71,44 +72,66 @@ class WaveletFile:
     def _part(self, where: list[int]) -> bytes:
         return self._unpack.decompress(self._body[where[0] : where[0] + where[1]])
 
-    def _bits(self, k: int, block: int) -> np.ndarray:
-        width = min(BLOCK, self.tokens - block * BLOCK)
-        return np.unpackbits(np.frombuffer(self._part(self.planes[k]["blocks"][block]), np.uint8), count=width, bitorder="little")
+    def _block(self, k: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of 64 bits of a block of plane k, and the ones before each word; kept once unpacked."""
+        held = self._blocks.get((k, block))
+        if held is None:
+            raw = self._part(self.planes[k]["blocks"][block])
+            words = np.frombuffer(raw + b"\0" * (-len(raw) % 8), "<u8")
+            ones = np.bitwise_count(words).astype(np.int64)
+            held = self._blocks[k, block] = words, np.cumsum(ones) - ones
+        return held
 
     def _zeros(self, k: int) -> int:
         return self.tokens - self.planes[k]["ones"][-1]
 
-    def _rank1(self, k: int, i: int) -> int:
-        """Ones of plane k before position i."""
-        block, rest = divmod(i, BLOCK)
-        return self.planes[k]["ones"][block] + (int(np.count_nonzero(self._bits(k, block)[:rest])) if rest else 0)
+    def _looked_up(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bit of plane k at each position, and the ones before it. A position at the end has a 0."""
+        bits, ranks = np.zeros(len(at), bool), np.full(len(at), self.planes[k]["ones"][-1], np.int64)
+        block = at // BLOCK
+        for b in np.unique(block[at < self.tokens]).tolist():
+            here = np.flatnonzero((block == b) & (at < self.tokens))
+            words, before = self._block(k, b)
+            rest = at[here] - b * BLOCK
+            word, bit = words[rest >> 6], (rest & 63).astype(np.uint64)
+            bits[here] = word >> bit & np.uint64(1)
+            ranks[here] = self.planes[k]["ones"][b] + before[rest >> 6] + np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
+        return bits, ranks
 
     def _select(self, k: int, bit: int, n: int) -> int:
         """Position of the n-th (from 0) such bit of plane k."""
         ones = np.asarray(self.planes[k]["ones"])
         held = ones if bit else np.minimum(np.arange(len(ones)) * BLOCK, self.tokens) - ones
         block = int(np.searchsorted(held, n, side="right")) - 1
-        return block * BLOCK + int(np.flatnonzero(self._bits(k, block) == bit)[n - int(held[block])])
+        words, before = self._block(k, block)
+        before = before if bit else 64 * np.arange(len(words)) - before
+        rest = n - int(held[block])
+        word = int(np.searchsorted(before, rest, side="right")) - 1
+        inside = np.unpackbits(words[word : word + 1].view(np.uint8), bitorder="little")
+        return block * BLOCK + 64 * word + int(np.flatnonzero(inside == bit)[rest - int(before[word])])
+
+    def accessed(self, at: np.ndarray) -> np.ndarray:
+        """The token ids at these positions; each plane's blocks are unpacked once."""
+        at = np.array(at, np.int64)
+        if len(at) and not (0 <= at.min() and at.max() < self.tokens):
+            raise IndexError("position outside the file")
+        value = np.zeros(len(at), np.int64)
+        for k in range(self.levels):
+            bits, ranks = self._looked_up(k, at)
+            at = np.where(bits, self._zeros(k) + ranks, at - ranks)
+            value = value << 1 | bits
+        return value
 
     def access(self, i: int) -> int:
         """The i-th token id."""
-        if not 0 <= i < self.tokens:
-            raise IndexError(i)
-        value = 0
-        for k in range(self.levels):
-            block, rest = divmod(i, BLOCK)
-            bit = int(self._bits(k, block)[rest])
-            r = self._rank1(k, i)
-            i = self._zeros(k) + r if bit else i - r
-            value = value << 1 | bit
-        return value
+        return int(self.accessed(np.array([i]))[0])
 
     def _down(self, token: int, i: int) -> tuple[int, int]:
-        a, b = 0, i
+        ends = np.array([0, i])
         for k in range(self.levels):
-            ra, rb = self._rank1(k, a), self._rank1(k, b)
-            a, b = (self._zeros(k) + ra, self._zeros(k) + rb) if token >> (self.levels - 1 - k) & 1 else (a - ra, b - rb)
-        return a, b
+            ranks = self._looked_up(k, ends)[1]
+            ends = self._zeros(k) + ranks if token >> (self.levels - 1 - k) & 1 else ends - ranks
+        return int(ends[0]), int(ends[1])
 
     def rank(self, token: int, i: int) -> int:
         """Occurrences of token before position i."""
@@ -135,12 +158,13 @@ class WaveletFile:
         for k in reversed(range(self.levels)):
             one = np.unpackbits(np.frombuffer(b"".join(map(self._part, self.planes[k]["blocks"])), np.uint8), count=self.tokens, bitorder="little").astype(bool)
             zeros, bit = self._zeros(k), kind(1 << (self.levels - 1 - k))
+            below[zeros:] |= bit
             here = np.empty(self.tokens, kind)
-            here[~one] = below[:zeros]
-            here[one] = below[zeros:] | bit
+            here[np.flatnonzero(~one)] = below[:zeros]
+            here[np.flatnonzero(one)] = below[zeros:]
             below = here
         return below
 
     def document(self, n: int) -> np.ndarray:
         """The ids of the n-th document of the file, by token access."""
-        return np.array([self.access(i) for i in range(self.starts[n], self.starts[n + 1])], np.int64)
+        return self.accessed(np.arange(self.starts[n], self.starts[n + 1]))

@@ -291,6 +291,38 @@ def test_wavelet_matrix():
     assert wavelet.WaveletFile(wavelet.build(np.zeros(0, np.int64), [], [])).ids().tolist() == []
 
 
+def test_wavelet_blocks():
+    """Positions on both sides of a block's end."""
+    n = wavelet.BLOCK + 100
+    x = np.random.default_rng(2).integers(0, 40000, n)
+    f = wavelet.WaveletFile(wavelet.build(x, [1, 2], [n - 50, 50]))
+    at = np.array([0, 1, 63, 64, wavelet.BLOCK - 1, wavelet.BLOCK, n - 1])
+    assert (f.accessed(at) == x[at]).all() and (f.ids() == x).all() and (f.document(1) == x[-50:]).all() and len(f.document(0)) == n - 50
+    for i in at.tolist():
+        nth = int((x[:i] == x[i]).sum())
+        assert f.rank(int(x[i]), i) == nth and f.select(int(x[i]), nth) == i
+    with pytest.raises(IndexError):
+        f.access(n)
+
+
+def test_encoder_against_the_tokenizer(monkeypatch):
+    """Whole documents, and random signs around apostrophes, digits and Latin-1; also where the memory of pieces is emptied again and again."""
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    r = random.Random(4)
+    signs = "abc'sStTrReEvVmMlLdD  09 .,-\"!éÉµ\xa0\x85ªº²½\xad÷\t\n\x1c\x00\x7f"
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]
+    texts += ["".join(r.choice(signs) for _ in range(r.randrange(40))) for _ in range(3000)] + ["".join(chr(r.randrange(256)) for _ in range(30)) for _ in range(1000)] + ["'real 'll'll ''s I'D've", "日本 語's", ""]
+    path = tokens.default_tokenizer()
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    raw = [t.encode() for t in texts]
+    assert [x.tolist() for x in tokens.encoder(path).encode(raw)] == want
+    monkeypatch.setattr(tokens, "REMEMBERED", 500)
+    few = tokens.PieceEncoder(path)
+    assert [x.tolist() for at in range(0, len(raw), 50) for x in few.encode(raw[at : at + 50])] == want
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
