@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._util import let, table, written
@@ -12,7 +12,7 @@ from ._util import let, table, written
 #: Words of a shingle, least weighted similarity of window and item, bits of a fingerprint, and its largest Hamming distance.
 #: At a similarity of 0.8 the mean distance is 9.7 bits and its deviation 2.9; all pairs within RADIUS are found.
 WORDS, SIMILAR, BITS, RADIUS = 5, 0.8, 64, 21
-#: Shingles of the benchmark that are broadcast at a time, about 40 bytes each; a larger benchmark is taken in such blocks.
+#: Words of a benchmark that is broadcast, its shingles taking about 40 bytes each; a larger one is shuffled.
 BLOCK = 200_000
 #: What rounding may take from a product of a similarity and a weight.
 SLACK = 1e-6
@@ -89,48 +89,64 @@ def items_of(benchmark: DataFrame, k: int | None, key: str = "item_id", text: st
     return w.select("item_id", F.size("_w").alias("m"), _pairs(F.col("_w"), k or WORDS).alias("pairs"))
 
 
-def _hits(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(doc_id, item_id, m, s, weight, base, win, places): where documents share a shingle with an item: the place s in words where
-    the item would start, the weight of shared shingles with that place, the words around and where those shingles are."""
-    shingles = items.select("item_id", "m", F.posexplode("pairs").alias("off", "p")).select("item_id", "m", "off", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
-    both = let(words(F.col("text")), lambda w: F.struct(w.alias("w"), let(_hashed(w), lambda h: _shingles(h, k)).alias("s")))
-    rows = docs.select("doc_id", both.alias("d")).select("doc_id", F.col("d.w").alias("_w"), F.posexplode("d.s").alias("pos", "h"))
-    # the caller keeps the shingles below BLOCK
-    found = rows.join(F.broadcast(shingles), "h").withColumn("s", F.col("pos") - F.col("off"))
-    base = F.greatest(F.col("s") - F.col("m"), F.lit(0))
-    near = found.select("doc_id", "item_id", "m", "s", "pos", "w", base.alias("base"), F.slice("_w", base + 1, F.col("m") * 3).alias("win"))
-    return near.groupBy("doc_id", "item_id", "m", "s").agg(F.sum("w").alias("weight"), F.min("base").alias("base"), F.first("win").alias("win"), F.collect_set(F.struct("pos", "w")).alias("places"))
-
-
-def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius: int) -> DataFrame:
-    """Matches of documents with one block of items."""
-    hits = _hits(docs, items, k)
-    weighed = items.withColumn("all", F.aggregate("pairs", F.lit(0), lambda s, p: s + p["w"])).select("item_id", F.col("m").alias("_m"), "all")
-    by = Window.partitionBy("doc_id", "item_id", "m")
+def _held(df: DataFrame, small: bool) -> DataFrame:
+    """df for a join: broadcast where its size is known to be small, else left to be shuffled."""
+    return F.broadcast(df) if small else df
+
+
+def _candidates(docs: DataFrame, items: DataFrame, k: int, similar: float, small: bool) -> DataFrame:
+    """(doc_id, version, item_id, m, all, places): documents whose shingles that an item has too (at places pos, of weight w, ascending) weigh as much as a match needs."""
+    shingles = items.select("item_id", "m", F.explode("pairs").alias("p")).select("item_id", "m", F.col("p.h").alias("h"), F.col("p.w").alias("w")).distinct()
+    rows = docs.select("doc_id", "version", F.posexplode(let(_hashed(words(F.col("text"))), lambda h: _shingles(h, k))).alias("pos", "h"))
+    found = rows.join(_held(shingles, small), "h").groupBy("doc_id", "version", "item_id", "m").agg(F.sum("w").alias("weight"), F.collect_set(F.struct("pos", "w")).alias("places"))
+    weighed = items.select("item_id", "m", F.aggregate("pairs", F.lit(0).cast("long"), lambda s, p: s + p["w"]).alias("all"))
     # a window that reaches the similarity shares at least that part of the item's weight
-    able = hits.withColumn("shared", F.sum("weight").over(by)).join(F.broadcast(weighed.withColumnRenamed("item_id", "_i")), (F.col("item_id") == F.col("_i")) & (F.col("m") == F.col("_m"))).where(F.col("shared") >= F.lit(similar) * F.col("all"))
-    # a window that holds a shared shingle starts at most m - k words beside the place where that shingle puts the item
+    return found.join(_held(weighed, small), ["item_id", "m"]).where(F.col("weight") >= F.lit(similar) * F.col("all") - SLACK).select("doc_id", "version", "item_id", "m", "all", F.array_sort("places").alias("places"))
+
+
+def _starts(k: int, similar: float) -> Column:
+    """Where windows may start: every place t at which the shared shingles of the window weigh enough. The first of them is places[i]
+    for the t that follow the place before it, so that each t is tried once and looks at m shingles at most."""
     reach = F.col("m") - k
-    starts = able.withColumn("t", F.explode(F.sequence(F.col("s") - reach, F.col("s") + reach))).where(F.col("t") + reach >= 0)
-    inside = F.filter("places", lambda p: p["pos"].between(F.col("t"), F.col("t") + reach))
-    win = F.slice("win", F.greatest(F.col("t"), F.lit(0)) - F.col("base") + 1, F.col("m") + F.least(F.col("t"), F.lit(0)))
-    tried = starts.select("doc_id", "item_id", "m", "all", "t", F.aggregate(inside, F.lit(0).cast("long"), lambda n, p: n + p["w"]).alias("held"), win.alias("_w")).where("held > 0")
-    # held is at least the weight that window and item share, so none that is similar goes
-    tried = tried.groupBy("doc_id", "item_id", "m", "all", "t").agg(F.sum("held").alias("held"), F.first("_w").alias("_w")).where(F.col("held") >= F.lit(similar) * F.col("all") - SLACK)
-    whole = F.aggregate(_weights(F.transform("_w", lambda x: F.length(x)), k), F.lit(0), lambda n, w: n + w)
+    places = F.col("places")
+
+    def after(p: Column, i: Column) -> Column:
+        least = F.greatest(p["pos"] - reach, F.coalesce(F.get(places, i - 1)["pos"] + 1, F.lit(-(1 << 30))), -reach)
+        near = F.slice(places, i + 1, reach + 1)
+        held = lambda t: F.aggregate(F.filter(near, lambda x: x["pos"] <= t + reach), F.lit(0).cast("long"), lambda n, x: n + x["w"])
+        return F.filter(F.transform(F.sequence(least, p["pos"]), lambda t: F.struct(t.alias("t"), held(t).alias("held"))), lambda x: x["held"] >= F.lit(similar) * F.col("all") - SLACK)
+
+    return F.flatten(F.transform(places, after))
+
+
+def _matches(docs: DataFrame, items: DataFrame, k: int, similar: float, radius: int, small: bool) -> DataFrame:
+    """Matches of documents with the items."""
+    docs = docs.withColumn("version", F.xxhash64("text"))
+    able = written(_candidates(docs, items, k, similar, small), "candidates")
+    n = able.agg(F.coalesce(F.sum(F.size("places") + F.lit(4)), F.lit(0))).first()[0]
+    few = n <= BLOCK * 4  # numbers that a broadcast would hold
+    rows = docs.join(_held(able, few), ["doc_id", "version"])
+    tried = rows.withColumn("at", _starts(k, similar)).where(F.size("at") > 0)
+    tried = tried.select("doc_id", "version", "item_id", "m", "all", words(F.col("text")).alias("_w"), "at").select("doc_id", "version", "item_id", "m", "all", "_w", F.explode("at").alias("x"))
+    t = F.col("x.t")
+    tried = tried.select("doc_id", "version", "item_id", "m", "all", F.greatest(t, F.lit(0)).alias("start"), F.col("x.held").alias("held"), F.slice("_w", F.greatest(t, F.lit(0)) + 1, F.col("m") + F.least(t, F.lit(0))).alias("_w"))
+    whole = F.aggregate(_weights(F.transform("_w", lambda x: F.length(x)), k), F.lit(0).cast("long"), lambda n, w: n + w)
     most = F.least("held", "all", "whole")
-    tried = tried.withColumn("whole", whole).where(most >= F.lit(similar) * (F.col("all") + F.col("whole") - most) - SLACK)
-    window = tried.select("doc_id", "m", F.greatest(F.col("t"), F.lit(0)).alias("start"), F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs")).where(F.size("pairs") > 0)
-    window = written(window.dropDuplicates(["doc_id", "m", "start", "n_words"]).withColumn("fp", let(F.col("pairs"), simhash)), "windows")
+    # held is at least the weight that window and item share, so none that is similar goes
+    tried = tried.withColumn("whole", whole).where((F.col("whole") > 0) & (most >= F.lit(similar) * (F.col("all") + F.col("whole") - most) - SLACK))
+    window = tried.select("doc_id", "version", "item_id", "m", "start", F.size("_w").alias("n_words"), _pairs(F.col("_w"), k).alias("pairs"))
+    window = written(window.withColumn("fp", let(F.col("pairs"), simhash)), "windows")
     marked = items.withColumn("ifp", let(F.col("pairs"), simhash))
+    # an item that shares no shingle with a window has a similarity of 0, so each window asks the index for the items that do
     index = marked.select("item_id", "m", "ifp", F.explode(_blocks(F.col("ifp"), radius)).alias("b")).select("item_id", "m", "ifp", "b.n", "b.bits")
-    asked = window.select("doc_id", "m", "start", "n_words", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "m", "start", "n_words", "fp", "b.n", "b.bits")
-    near = asked.join(F.broadcast(index), ["m", "n", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select("doc_id", "m", "start", "n_words", "item_id").distinct()
+    key = ["doc_id", "version", "item_id", "m", "start", "n_words"]
+    asked = window.select(*key, "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(*key, "fp", "b.n", "b.bits")
+    near = asked.join(_held(index, small), ["item_id", "m", "n", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius).select(*key).distinct()
     bags = items.select("item_id", "m", let(F.col("pairs"), _bag).alias("ibag"))
-    held = near.join(window.select("doc_id", "m", "start", "n_words", "pairs"), ["doc_id", "m", "start", "n_words"]).join(F.broadcast(bags), ["item_id", "m"])
+    held = near.join(window.select(*key, "pairs").dropDuplicates(key), key).join(_held(bags, small), ["item_id", "m"])
     sure = held.withColumn("similarity", let(let(F.col("pairs"), _bag), lambda b: similarity(b, F.col("ibag")))).where(F.col("similarity") >= similar)
-    best = Window.partitionBy("doc_id", "item_id").orderBy(F.col("similarity").desc(), F.col("start"), F.col("m"))
-    return sure.withColumn("_best", F.row_number().over(best)).where("_best = 1").select("doc_id", "item_id", "similarity", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"))
+    best = F.min_by(F.struct("similarity", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words")), F.struct(-F.col("similarity"), "start", "m"))
+    return sure.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.similarity", "best.start_word", "best.n_words")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
@@ -138,17 +154,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, rad
 
     A window has as many words as the item (fewer at a document's start or end) and matches if the weighted resemblance of the two bags of five-word
     shingles is at least similar. Items of fewer words are one shingle; items without words match nothing. Null texts are empty,
-    rows without doc_id or item_id match nothing, rows that repeat count once. The benchmark is taken in blocks that are small enough to broadcast.
+    rows without doc_id or item_id match nothing, rows that repeat count once; rows that repeat a doc_id with another text are tried each for itself.
+    A benchmark of more than block shingles isn't broadcast but shuffled; documents are read twice either way.
     """
-    docs = docs.where("doc_id is not null").select("doc_id", "text")
+    docs = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     sizes = benchmark.select(F.size(words(F.col("text"))).alias("m")).where("m > 0").groupBy(F.least("m", F.lit(WORDS)).alias("k")).agg(F.sum(F.col("m")).alias("n")).collect()  # at most five rows
     out = []
     for row in sorted(sizes):
-        k = None if row["k"] >= WORDS else row["k"]
-        parts = -(-int(row["n"]) // block)
-        for part in range(parts):
-            items = items_of(benchmark if parts == 1 else benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part), k)
-            out.append(_matches(docs, items, row["k"], similar, radius))
+        items = written(items_of(benchmark, None if row["k"] >= WORDS else row["k"]), "items")
+        out.append(_matches(docs, items, row["k"], similar, radius, row["n"] <= block))
     if not out:
         return docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("start_word"), F.lit(0).cast("long").alias("n_words")).limit(0)
     return reduce(DataFrame.unionByName, out)
@@ -161,4 +175,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 
 def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that it leaks, with the best window."""
     return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
