@@ -11,22 +11,15 @@ from ..plans import vocabulary as V
 from .text import clean, decoded, tidy
 from .urls import let
 
-_DASH = "—–―~‒-"
-
-
 def meta(page: Column, *names: str) -> Column:
     """The first <meta> of these names that isn't blank, whichever attribute comes first."""
-    found = []
-    for name in names:
-        n = name.replace(":", "[:]")
-        for p in (rf"(?is)<meta[^>]+(?:property|name)=[\"']{n}[\"'][^>]*?content=[\"']([^\"']*)[\"']", rf"(?is)<meta[^>]+content=[\"']([^\"']*)[\"'][^>]*?(?:property|name)=[\"']{n}[\"']"):
-            found.append(F.nullif(F.trim(F.regexp_extract(page, p, 1)), F.lit("")))
+    found = [F.nullif(F.trim(F.regexp_extract(page, p.replace("{name}", name), 1)), F.lit("")) for name in names for p in (V.META_FIRST, V.META_LAST)]
     return F.trim(decoded(F.coalesce(*found)))
 
 
 def scraped(page: Column) -> Column:
     """struct<title, description> of a page as the cache keeps them; nulls if it isn't HTML."""
-    title = F.coalesce(meta(page, "og:title", "twitter:title"), F.nullif(decoded(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("")))
+    title = F.coalesce(meta(page, "og:title", "twitter:title"), F.nullif(decoded(F.regexp_extract(page, V.TITLE, 1)), F.lit("")))
     flat = lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))
     description = F.coalesce(flat(meta(page, "og:description", "twitter:description", "description")), F.lit(""))
     is_html = F.lower(F.substring(page, 1, 2000)).contains("<html")
@@ -34,9 +27,9 @@ def scraped(page: Column) -> Column:
     return F.when(is_html, parts).otherwise(F.struct(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("description")))
 
 
-def blurb(description: Column) -> Column:
+def blurb(description: Column, boilerplate: str = V.BOILERPLATE) -> Column:
     """A cached description: no boilerplate, cut, tidied; null instead of empty."""
-    kept = F.when(F.substring(description, 1, 200).rlike("(?i)" + V.BOILERPLATE), "").otherwise(description)
+    kept = F.when(F.substring(description, 1, 200).rlike("(?i)" + boilerplate), "").otherwise(description)
     return F.nullif(tidy(F.substring(kept, 1, 400)), F.lit(""))
 
 
@@ -50,55 +43,76 @@ def sections(body: Column) -> Column:
 
 def units(content: Column) -> Column:
     """Inner markup of list items and quotes in order; a nested list ends its item."""
-    found = F.regexp_extract_all(content, F.lit(r"(?s)<li[^>]*>.*?</li>|<blockquote[^>]*>.*?</blockquote>"), F.lit(0))
+    found = F.regexp_extract_all(content, F.lit(V.UNIT), F.lit(0))
     return F.transform(found, lambda x: F.regexp_replace(x, r"(?s)^<(?:li|blockquote)[^>]*>|</(?:li|blockquote)>$", ""))
 
 
 def first_link(unit: Column) -> Column:
-    """struct<url, title, before, after>: the first strong link, else the first link, and the text around."""
-    strong, plain = r"(?s)^(.*?)<strong>\s*<a\b[^>]*href=\"([^\"]+)\"[^>]*>(.*?)</a>(.*)$", r"(?s)^(.*?)<a\b[^>]*href=\"([^\"]+)\"[^>]*>(.*?)</a>(.*)$"
-    take = lambda n: F.when(unit.rlike(strong), F.regexp_extract(unit, strong, n)).when(unit.rlike(plain), F.regexp_extract(unit, plain, n))
-    before = F.trim(F.regexp_replace(clean(take(1)), r"[\s\[\(<–—:-]+$", ""))
-    return F.struct(F.trim(decoded(take(2))).alias("url"), clean(take(3)).alias("title"), before.alias("before"), clean(take(4)).alias("after"))
+    """struct<url, title, before, after, marker>: the first strong link, else the first link, the text around, and the pictures before it."""
+    cut = lambda pattern: F.array(*[F.regexp_extract(unit, pattern, n) for n in (1, 2, 3, 4)])
+    parts = F.when(unit.rlike(V.STRONG_LINK), cut(V.STRONG_LINK)).when(unit.rlike(V.PLAIN_LINK), cut(V.PLAIN_LINK))
+
+    def made(x: Column) -> Column:
+        sign = let(x["lead"], lambda lead: marker(F.when(lead != "", lead).otherwise(clean(unit))))
+
+        def after(y: Column) -> Column:
+            bare = F.when(y["sign"].isNotNull() & y["lead"].startswith(y["sign"]), F.substring(y["lead"], F.length(y["sign"]) + 1, F.length(y["lead"]))).otherwise(y["lead"])
+            before = F.trim(F.regexp_replace(bare, r"[\s\[\(<–—:-]+$", ""))
+            return F.struct(F.trim(decoded(F.get(x["p"], F.lit(1)))).alias("url"), clean(F.get(x["p"], F.lit(2))).alias("title"), before.alias("before"), clean(F.get(x["p"], F.lit(3))).alias("after"), y["sign"].alias("marker"))
+
+        return let(F.struct(x["lead"].alias("lead"), sign.alias("sign")), after)
+
+    return let(parts, lambda p: let(F.struct(p.alias("p"), clean(F.get(p, F.lit(0))).alias("lead")), made))
+
+
+def marker(text: Column) -> Column:
+    """The run of pictures that a text begins with, else null."""
+    return F.nullif(F.regexp_replace(F.regexp_extract(text, V.MARKER, 1), r"^[\x{200D}\x{FE0F} ]+|[\x{200D}\x{FE0F} ]+$", ""), F.lit(""))
 
 
 def quotation(unit: Column) -> Column:
     """struct<quote, attribution>: the last line if it begins with a dash, else what follows a spaced dash."""
-    lines = F.filter(F.transform(F.split(unit, r"<br\s*/?>"), clean), lambda x: x != "")
-    last = F.try_element_at(lines, F.lit(-1))
-    dashed = (F.size(lines) >= 2) & last.rlike(rf"^\s*[{_DASH}]")
-    body = F.array_join(F.when(dashed, F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines), " ")
-    cut = F.split(body, r"\s+[~–—―‒]\s+|\s+--\s+", 2)
-    said = F.when(dashed, body).otherwise(F.get(cut, F.lit(0)))
-    by = F.when(dashed, F.trim(F.regexp_replace(last, rf"^[\s{_DASH}]+", ""))).otherwise(F.trim(F.get(cut, F.lit(1))))
-    bare = F.trim(F.regexp_replace(said, r"^\s*[\x{1F000}-\x{1FAFF}\x{2190}-\x{2BFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}]+", ""))
-    quotes = F.lit('"“”')
-    return F.struct(F.nullif(F.btrim(bare, quotes), F.lit("")).alias("quote"), F.nullif(F.btrim(by, quotes), F.lit("")).alias("attribution"))
-
-
-def tags(kind: Column, title: Column, description: Column, host: Column, url: Column, repo: Column) -> Column:
-    """Ordered tags: kind, topics, then what host and text add."""
+
+    def of(lines: Column) -> Column:
+        last = F.try_element_at(lines, F.lit(-1))
+        dashed = F.coalesce((F.size(lines) >= 2) & last.rlike(rf"^\s*[{V.QUOTE_DASH}]"), F.lit(False))
+        body = F.array_join(F.when(dashed, F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines), " ")
+        parts = F.struct(dashed.alias("dashed"), body.alias("body"), F.split(body, V.QUOTE_CUT, 2).alias("cut"), F.trim(F.regexp_replace(last, rf"^[\s{V.QUOTE_DASH}]+", "")).alias("by"))
+
+        def made(x: Column) -> Column:
+            said = F.when(x["dashed"], x["body"]).otherwise(F.get(x["cut"], F.lit(0)))
+            by = F.when(x["dashed"], x["by"]).otherwise(F.trim(F.get(x["cut"], F.lit(1))))
+            quotes = F.lit('"“”')
+            return F.struct(F.nullif(F.btrim(F.trim(F.regexp_replace(said, V.MARKER, "")), quotes), F.lit("")).alias("quote"), F.nullif(F.btrim(by, quotes), F.lit("")).alias("attribution"))
+
+        return let(parts, made)
+
+    return let(F.filter(F.transform(F.split(unit, r"<br\s*/?>"), clean), lambda x: x != ""), of)
+
+
+def tags(kind: Column, title: Column, description: Column, host: Column, url: Column, repo: Column, topics: list[tuple] = V.TOPICS) -> Column:
+    """Ordered tags: kind, topics, then what host and text add. topics are (pattern, slug, label, facet)."""
     empty = lambda c: F.coalesce(c, F.lit(""))
     text = F.lower(F.concat_ws(" ", empty(title), empty(description), empty(host), empty(url)))
 
     def found(hay: Column) -> Column:
         # letters of any language bound a word
-        topics = [F.when(hay.rlike("(?U)" + pattern), slug) for pattern, slug, _, _ in V.TOPICS]
-        video = empty(host).rlike(r"(youtube\.com|youtu\.be|vimeo\.com)$") | hay.rlike(r"(?U)\b(video|watch|podcast|youtube)\b")
+        named = [F.when(hay.rlike("(?U)" + pattern), slug) for pattern, slug, _, _ in topics]
+        video = empty(host).rlike(V.VIDEO_HOST) | hay.rlike("(?U)" + V.VIDEO_WORD)
         more = [F.when(repo.isNotNull(), "opensource"), F.when(empty(host).endswith("wikipedia.org"), "wikipedia"), F.when(video, "video")]
-        return F.array_distinct(F.filter(F.array(kind, *topics, *more), lambda t: t.isNotNull()))
+        return F.array_distinct(F.filter(F.array(kind, *named, *more), lambda t: t.isNotNull()))
 
     return let(text, found)
 
 
-def kind_for(channel: Column, host: Column) -> Column:
+def kind_for(channel: Column, host: Column, channels: list[tuple[str, str]] = V.CHANNEL_KINDS, read: str = V.READ_HOST) -> Column:
     """Kind of a chat link: the channel's name decides before the host does."""
-    by_name = [F.when(F.coalesce(channel, F.lit("")).rlike("(?i)" + pattern), kind) for pattern, kind in V.CHANNEL_KINDS]
-    by_host = F.when(F.coalesce(host, F.lit("")).rlike("(?i)" + V.READ_HOST), "read").otherwise("tool")
+    by_name = [F.when(F.coalesce(channel, F.lit("")).rlike("(?i)" + pattern), kind) for pattern, kind in channels]
+    by_host = F.when(F.coalesce(host, F.lit("")).rlike("(?i)" + read), "read").otherwise("tool")
     return F.coalesce(*by_name, by_host)
 
 
-def section_kind(name: Column) -> Column:
+def section_kind(name: Column, sections: dict[str, list[str]] | None = None, excluded: list[str] | None = None) -> Column:
     """Kind of a normalised heading, '-' of an excluded one, null of an unknown one."""
-    known = reduce(lambda c, k: c.when(name.isin(*V.SECTIONS[k]), k), V.SECTIONS, F.when(name.isin(*V.EXCLUDED_SECTIONS), "-"))
-    return known
+    sections = V.SECTIONS if sections is None else sections
+    return reduce(lambda c, k: c.when(name.isin(*sections[k]), k), sections, F.when(name.isin(*(V.EXCLUDED_SECTIONS if excluded is None else excluded)), "-"))

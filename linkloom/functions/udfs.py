@@ -7,14 +7,15 @@ import html
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def content_hash(bodies: pd.Series) -> pd.Series:
     """16 hex digits of the 64-bit BLAKE2b digest of a body; null of null."""
     return bodies.map(lambda b: None if b is None else hashlib.blake2b(b.encode(), digest_size=8).hexdigest())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else html.unescape(t))

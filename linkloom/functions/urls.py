@@ -44,12 +44,12 @@ def repo(url: Column) -> Column:
     return _repo(host(url), path(url))
 
 
-def is_furniture(url: Column) -> Column:
-    return F.coalesce(host(url).rlike("(?i)" + V.FURNITURE_HOST), F.lit(False))
+def is_furniture(url: Column, hosts: str = V.FURNITURE_HOST) -> Column:
+    return F.coalesce(host(url).rlike("(?i)" + hosts), F.lit(False))
 
 
-def is_job(url: Column) -> Column:
-    return F.coalesce(host(url).rlike("(?i)" + V.JOB_HOST) | path(url).rlike("(?i)" + V.JOB_PATH), F.lit(False))
+def is_job(url: Column, hosts: str = V.JOB_HOST, paths: str = V.JOB_PATH) -> Column:
+    return F.coalesce(host(url).rlike("(?i)" + hosts) | path(url).rlike("(?i)" + paths), F.lit(False))
 
 
 def _decoded(x: Column) -> Column:

@@ -2,55 +2,106 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 #: The curated source, whose copy of a destination wins.
 CURATED = "newsletter"
+#: What a sighting hands on to the archive, and what it leaves when another one stands for its key.
+ENTRY = ["url", "src", "date", "id", "seq", "title", "description", "kind", "tags", "chan"]
+MORE = ["host", "repo", "ed", "msg", "by", "msg_url", "heading", "attribution", "marker", "clean"]
+OCCURRENCE = ["src", "date", "ed", "chan", "msg_url", "by"]
 
 
-def ranked(sightings: DataFrame) -> DataFrame:
-    """Sightings (key, src, date, id, description, title, seq) with place, 1 for the one that stands for its key.
+def _order() -> list[Column]:
+    return [F.coalesce("date", F.lit("")), F.coalesce("id", F.lit(0)), F.col("seq")]
 
-    Curated copies win, then longer descriptions, then real titles, then the earliest by (date, id, seq).
-    """
-    rich = [F.col("src") == CURATED, F.length(F.coalesce("description", F.lit(""))), (F.coalesce("title", F.lit("")) != "") & ~F.coalesce("title", F.lit("")).startswith("http")]
-    w = Window.partitionBy("key").orderBy(*[r.desc() for r in rich], F.coalesce("date", F.lit("")), F.coalesce("id", F.lit(0)), "seq")
-    return sightings.withColumn("place", F.row_number().over(w))
+
+def _rank(rows: DataFrame) -> Column:
+    """The least of these is the sighting that stands for its key: curated, longer description, real title, then the earliest."""
+    said = F.coalesce("clean", "description", F.lit("")) if "clean" in rows.columns else F.coalesce("description", F.lit(""))
+    title = F.coalesce("title", F.lit(""))
+    return F.struct((F.col("src") != CURATED).alias("a"), (-F.length(said)).alias("b"), ((title == "") | title.startswith("http")).alias("c"), *[c.alias(f"d{i}") for i, c in enumerate(_order())])
 
 
 def folded(sightings: DataFrame) -> DataFrame:
-    """One row a key: the surviving sighting, n, first, last, also (the others in order) and the union of tags.
+    """One row a key: the surviving sighting, n, key_seq, first and last, and the union of tags.
 
-    The window and the aggregation share one exchange on key. Sightings without a key stay single.
+    Everything is a partial aggregate, so that a link that is everywhere is no hot key: the survivor is the least by a total order (seq is
+    unique), and tags come from the first place of each tag among the sightings, the survivor's own before all. Sightings without a key
+    stay single. What did not survive is in occurrences().
     """
-    rows = ranked(sightings.where("key is not null"))
-    order = F.struct(F.coalesce("date", F.lit("")).alias("date"), F.coalesce("id", F.lit(0)).alias("id"), F.col("seq"), "src", "chan", "tags", "place")
-    best = F.max(F.when(F.col("place") == 1, F.struct("url", "src", "date", "id", "seq", "title", "description", "kind", "tags", "chan"))).alias("best")
+    have = [c for c in [*ENTRY, *MORE] if c in sightings.columns]
+    rows = sightings.where("key is not null")
     real = F.when(F.col("date") != "", F.col("date"))
-    by = rows.groupBy("key").agg(best, F.count(F.lit(1)).alias("n"), F.min(real).alias("lo"), F.max(real).alias("hi"), F.array_sort(F.collect_list(order)).alias("every"), F.min("seq").alias("key_seq"))
-    others = F.filter("every", lambda e: e["place"] != 1)
-    also = F.transform(others, lambda e: F.struct(e["src"].alias("src"), e["date"].alias("date"), e["chan"].alias("chan")))
-    tags = F.array_distinct(F.concat(F.col("best.tags"), F.flatten(F.transform("every", lambda e: e["tags"]))))
+    by = rows.groupBy("key").agg(F.min_by(F.struct(*have), _rank(rows)).alias("best"), F.count(F.lit(1)).alias("n"), F.min(real).alias("lo"), F.max(real).alias("hi"), F.min("seq").alias("key_seq"))
+    first = rows.select("key", F.posexplode("tags").alias("at", "tag"), *[c.alias(f"o{i}") for i, c in enumerate(_order())]).groupBy("key", "tag").agg(F.min(F.struct("o0", "o1", "o2", "at")).alias("place"))
+    # a key has as many tags as there are kinds, topics, sources and channels at most
+    union = first.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "tag"))).alias("all")).select(F.col("key").alias("_key"), F.transform("all", lambda t: t["tag"]).alias("all"))
     many = F.col("n") > 1
-    out = by.select("key", "best.*", "n", "key_seq", F.when(many, F.col("lo")).otherwise(F.col("best.date")).alias("first"), F.when(many, F.col("hi")).otherwise(F.col("best.date")).alias("last"), F.when(many, also).alias("also"), tags.alias("all_tags")).drop("tags").withColumnRenamed("all_tags", "tags")
+    tags = F.array_distinct(F.concat("best.tags", F.coalesce("all", F.array().cast("array<string>"))))
+    out = by.join(union, F.col("key") == F.col("_key"), "left").select("key", *[F.col(f"best.{c}").alias(c) for c in have if c != "tags"], "n", "key_seq", F.when(many, F.col("lo")).otherwise(F.col("best.date")).alias("first"), F.when(many, F.col("hi")).otherwise(F.col("best.date")).alias("last"), tags.alias("tags"))
     single = sightings.where("key is null").withColumns({"n": F.lit(1).cast("long"), "key_seq": F.col("seq"), "first": F.col("date"), "last": F.col("date")})
     return out.unionByName(single.select([c for c in out.columns if c in single.columns]), allowMissingColumns=True)
 
 
-def with_ids(rows: DataFrame) -> DataFrame:
-    """Rows with the dense id of the published order: curated ones by their old id, then the rest; ties by key_seq.
+def occurrences(sightings: DataFrame, archive: DataFrame) -> DataFrame:
+    """(key, seq, id, and of src, date, ed, chan, msg_url, by what there is): the sightings of each key that another one stands for.
 
-    For the folded archive only: one task orders it.
+    A table of its own, in which a destination that is everywhere takes many rows and no row grows; its order is (date, id, seq).
     """
-    w = Window.orderBy(F.when(F.col("src") == CURATED, 0).otherwise(1), "id", "key_seq")
-    return rows.withColumn("entry_id", F.row_number().over(w).cast("long") - 1)
+    have = [c for c in OCCURRENCE if c in sightings.columns]
+    best = archive.where("n > 1").select(F.col("key").alias("_key"), F.col("seq").alias("_seq"))
+    rows = sightings.where("key is not null").select("key", "seq", "id", *have)
+    return rows.join(best, (F.col("key") == F.col("_key")) & (F.col("seq") != F.col("_seq"))).drop("_key", "_seq")
+
+
+def with_also(archive: DataFrame, others: DataFrame) -> DataFrame:
+    """The archive with also, the occurrences of each row nested in order: the shape of the published page."""
+    have = [c for c in OCCURRENCE if c in others.columns]
+    nested = others.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order())], F.struct(*have).alias("o")))).alias("all"))
+    return archive.join(nested.select(F.col("key").alias("_key"), F.transform("all", lambda x: x["o"]).alias("also")), F.col("key") == F.col("_key"), "left").drop("_key")
+
+
+def with_ids(rows: DataFrame) -> DataFrame:
+    """Rows with entry_id, the dense id (from 1) of the published order: curated ones by their old id, then the rest by message; ties by key_seq."""
+    at = F.when(F.col("src") == CURATED, F.coalesce("id", F.lit(0))).otherwise(F.coalesce("msg", "id", F.lit(0)) if "msg" in rows.columns else F.coalesce("id", F.lit(0)))
+    return numbered(rows, [F.when(F.col("src") == CURATED, 0).otherwise(1), at.cast("long"), F.col("key_seq")], "entry_id")
+
 
+def titled(slug: Column) -> Column:
+    """A slug in title case: every run of letters begins with a capital."""
+    return F.array_join(F.transform(F.regexp_extract_all(slug, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0)), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x))))), "")
 
-def facet_counts(rows: DataFrame, meta: DataFrame) -> DataFrame:
-    """(slug, label, facet, n) of tags; meta (slug, label, facet) names them, others are topics in title case."""
+
+def facet_counts(rows: DataFrame, meta: DataFrame, channels: DataFrame | None = None) -> DataFrame:
+    """(slug, label, facet, n) of tags, the most frequent first, then by slug.
+
+    meta (slug, label, facet) names them, channels (name, slug) those that meta doesn't; others are topics in title case.
+    """
+    names = meta.select("slug", "label", "facet", F.lit(0).alias("_rank"))
+    if channels is not None:
+        names = names.unionByName(channels.select("slug", F.concat(F.lit("#"), "name").alias("label"), F.lit("channel").alias("facet"), F.lit(1).alias("_rank")))
+    names = names.groupBy("slug").agg(F.min_by(F.struct("label", "facet"), F.struct("_rank", "label")).alias("m")).select("slug", "m.label", "m.facet")
     counts = rows.select(F.explode("tags").alias("slug")).groupBy("slug").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(meta), "slug", "left").select("slug", F.coalesce("label", F.initcap("slug")).alias("label"), F.coalesce("facet", F.lit("topic")).alias("facet"), "n")
+    return counts.join(names, "slug", "left").select("slug", F.coalesce("label", titled(F.col("slug"))).alias("label"), F.coalesce("facet", F.lit("topic")).alias("facet"), "n").orderBy(F.col("n").desc(), "slug")
+
+
+def per_channel(rows: DataFrame) -> DataFrame:
+    """(chan, n, place): shown entries of each channel, the most first; ties by where the channel comes first."""
+    by = rows.where(F.col("src") != CURATED).groupBy("chan").agg(F.count(F.lit(1)).alias("n"), F.min("key_seq").alias("_first"))
+    return numbered(by, [F.col("n").desc(), F.col("_first")], "place").drop("_first")
+
+
+def entities(rows: DataFrame) -> DataFrame:
+    """(entities): distinct destinations; what has none counts by its title."""
+    return rows.agg(F.count_distinct(F.coalesce("key", F.concat(F.lit("quote::"), "title"))).alias("entities"))
 
 
 def within(rows: DataFrame, asof: str, days: int) -> DataFrame:
@@ -69,14 +120,25 @@ def trace(rows: DataFrame) -> DataFrame:
 
 
 def frame(text: Column) -> Column:
-    """Length in eight bytes and the bytes, as hex: what a fingerprint takes of one text."""
-    return F.concat(F.lpad(F.hex(F.octet_length(text)), 16, "0"), F.hex(F.encode(text, "UTF-8")))
+    """Length in eight bytes and the bytes: what a fingerprint takes of one text."""
+    return F.concat(F.unhex(F.lpad(F.hex(F.octet_length(text)), 16, "0")), F.encode(text, "UTF-8"))
 
 
 def fingerprint(rows: DataFrame, text: str, order: str) -> DataFrame:
-    """SHA-256 over the framed texts in order. The digest is sequential by definition: for a published corpus, gathered in one row."""
-    every = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), frame(F.col(text)).alias("f"))))
-    return rows.agg(F.sha2(F.unhex(F.array_join(F.transform(every, lambda e: e["f"]), "")), 256).alias("digest"), F.count(F.lit(1)).alias("n"))
+    """(digest, n): SHA-256 over the framed texts in order.
+
+    The digest is sequential by definition, so one task reads all frames; it streams them from a sort that spills and holds one batch at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, n = hashlib.sha256(), 0
+        for batch in batches:
+            for x in batch.column("f"):
+                digest.update(x.as_buffer() or b"")
+            n += len(batch)
+        yield pa.RecordBatch.from_pydict({"digest": [digest.hexdigest()], "n": pa.array([n], pa.int64())})
+
+    return rows.select(F.col(order).alias("o"), frame(F.coalesce(F.col(text), F.lit(""))).alias("f")).repartition(1).sortWithinPartitions("o", "f").mapInArrow(run, "digest string, n long")
 
 
 def unchanged(old: DataFrame, new: DataFrame) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,16 +47,30 @@ def permalink(guild: Column, channel: Column, message: Column, base: str = "http
     return F.when(guild.isNotNull() & channel.isNotNull(), F.concat_ws("/", F.lit(base), guild, channel, message))
 
 
-def enriched(sightings: DataFrame, cache: DataFrame) -> DataFrame:
-    """Sightings with key, host, repo, title, description, kind and tags; cache (key, title, description) is joined on the key.
+def enriched(sightings: DataFrame, cache: DataFrame, slugs: DataFrame | None = None, guild: str | None = None, source: str = "discord", topics: list[tuple] = V.TOPICS) -> DataFrame:
+    """Sightings (url, chan, and if they have them text, said, ch, msg) with key, host, repo, title, description, kind, tags and msg_url.
 
-    What depends on the link and its channel only is worked out once for each of their pairs, not for each sighting.
+    cache (key, title, description) is joined on the key, slugs (name, slug) on the channel's name. A title is the link's text, the cached one or
+    the URL's name; a description a long remark, the cached one or a short remark. Tags of chat sightings end with source and channel.
+    What depends on the link, its channel and what was said is worked out once for each of their combinations, not for each sighting.
     """
     c = cache.select(F.col("key").alias("_key"), F.col("title").alias("_title"), F.col("description").alias("_description"))
-    links = sightings.select("url", "chan").distinct()
+    nothing = F.lit(None).cast("string")
+    of = {"text": F.col("text") if "text" in sightings.columns else nothing, "said": F.col("said") if "said" in sightings.columns else nothing, "curated": F.col("src") == "newsletter" if "src" in sightings.columns else F.lit(False)}
+    rows = sightings.withColumns({f"_{k}": v for k, v in of.items()})
+    parts = ["url", "chan", "_text", "_said", "_curated"]
+    links = rows.select(*parts).distinct()
     links = links.withColumns({"key": urls.canonical_key(F.col("url")), "host": urls.host(F.col("url")), "repo": urls.repo(F.col("url"))})
     links = links.join(c, F.col("key") == F.col("_key"), "left")
-    links = links.withColumns({"title": title_of(F.lit(None).cast("string"), F.col("_title"), F.col("url")), "description": description_of(F.lit(None).cast("string"), F.col("_description")), "kind": html.kind_for(F.col("chan"), F.col("host"))})
-    links = links.withColumn("tags", html.tags(F.col("kind"), F.col("title"), F.col("description"), F.col("host"), F.col("url"), F.col("repo"))).drop("_key", "_title", "_description")
-    links = links.withColumnsRenamed({"url": "_url", "chan": "_chan"})
-    return sightings.join(links, F.col("url").eqNullSafe(F.col("_url")) & F.col("chan").eqNullSafe(F.col("_chan"))).drop("_url", "_chan")
+    if slugs is not None:
+        links = links.join(slugs.select(F.col("name").alias("_name"), F.col("slug").alias("_slug")), F.col("chan") == F.col("_name"), "left")
+    slug = F.col("_slug") if slugs is not None else nothing
+    links = links.withColumns({"title": title_of(F.trim("_text"), F.trim("_title"), F.col("url")), "description": description_of(F.col("_said"), F.col("_description")), "kind": html.kind_for(F.col("chan"), F.col("host"))})
+    own = html.tags(F.col("kind"), F.col("title"), F.col("description"), F.col("host"), F.col("url"), F.col("repo"), topics)
+    links = links.withColumn("tags", F.when(F.col("_curated"), own).otherwise(F.concat(own, F.filter(F.array(F.lit(source), slug), lambda t: t.isNotNull()))))
+    made = links.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(parts)], "key", "host", "repo", "title", "description", "kind", "tags")
+    same = [F.col(c).eqNullSafe(F.col(f"k{i}")) for i, c in enumerate(parts)]
+    out = rows.drop("key", "host", "repo", "title", "description", "kind", "tags").join(made, reduce(lambda x, y: x & y, same)).drop(*[f"k{i}" for i in range(len(parts))], *[f"_{k}" for k in of])
+    if {"ch", "msg"} <= set(sightings.columns) and "msg_url" not in sightings.columns:
+        out = out.withColumn("msg_url", permalink(F.lit(guild).cast("string"), F.col("ch").cast("string"), F.col("msg").cast("string")))
+    return out

@@ -1,4 +1,4 @@
-"""The words, hosts and patterns that results depend on. All of them are parameters of the operators that use them."""
+"""The words, hosts and patterns that results depend on. The rule tables among them are defaults of parameters of the functions that use them."""
 
 # kind: (label, timeless)
 KINDS = {"news": ("News", False), "tool": ("Tool", True), "read": ("Read", True), "quote": ("Quote", True), "til": ("TIL", True), "awe": ("Curiosity", True)}
@@ -51,10 +51,34 @@ SECTIONS = {
 }
 EXCLUDED_SECTIONS = [
     "meme of the week", "weekly standup", "wallpaper of the week", "from the authors laptop", "note", "where do we stand in the year",
-    "where do we stand in the year powered by year progress bot", "what are we up to", "what weve been up to", "things i have been up to", "shoutout", "friends of ours", "job posts", "fin bits", "watching",
+    "where do we stand in the year powered by year progress bot", "what are we up to", "what weve been up to", "things i have been up to", "shoutout", "job posts", "fin bits", "watching",
 ]
 
 
+def excluded_sections(newsletter: str) -> list[str]:
+    """The excluded headings, with the one that names the newsletter (in the form that headings are looked up by)."""
+    return [*EXCLUDED_SECTIONS, f"friends of {newsletter}"]
+
+
+# titles, descriptions and links in a page's head, and the markup of editions
+TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+META_FIRST, META_LAST = "(?is)<meta[^>]+(?:property|name)=[\"']{name}[\"'][^>]*?content=[\"']([^\"']*)[\"']", "(?is)<meta[^>]+content=[\"']([^\"']*)[\"'][^>]*?(?:property|name)=[\"']{name}[\"']"
+HEADING = r"(?s)<h([1-6])[^>]*>(.*?)</h\1>"
+UNIT = r"(?s)<li[^>]*>.*?</li>|<blockquote[^>]*>.*?</blockquote>"
+STRONG_LINK = r"(?s)^(.*?)<strong>\s*<a\b[^>]*href=\"([^\"]+)\"[^>]*>(.*?)</a>(.*)$"
+PLAIN_LINK = r"(?s)^(.*?)<a\b[^>]*href=\"([^\"]+)\"[^>]*>(.*?)</a>(.*)$"
+QUOTE_DASH = "—–―~‒-"
+QUOTE_CUT = r"\s+[~–—―‒]\s+|\s+--\s+"
+MARKER = r"^\s*([\x{1F000}-\x{1FAFF}\x{2190}-\x{2BFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}]+)"
+VIDEO_HOST, VIDEO_WORD = r"(youtube\.com|youtu\.be|vimeo\.com)$", r"\b(video|watch|podcast|youtube)\b"
+# text around links
+LEAD = r"^[\s.,;:!?)\]…–—-]+"
+CONNECTIVE = r"(?i)^(and|but|so|also|plus|yet)\b[\s,]*"
+STOPS = [".", "!", "?", ")", "”", '"']
+BARE_URL = r"(?i)https?://[^\s<>()\[\]\"'`]+[^\s<>()\[\]\"'`.,;:!?]"
+MARKED_LINK = r"\[[^\]]{1,200}\]\(https?://[^\s)]+\)"
+
+
 def newsletter_furniture(site: str) -> str:
     """Pattern of links that only serve the newsletter at site (a pattern too)."""
     return rf"(^|\.)(wow|a|p|latest|why|files)\.{site}$|{site}/(subscribe|survey)|notebooklm\.google\.com|/subscribe|/survey"

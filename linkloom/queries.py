@@ -5,7 +5,6 @@ events and pages stand for a message stream: each event is a sighting of one pag
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 from .functions import html, text, urls
 from .operators import archive, enrich, harvest, newsletter, search
 from .operators import sightings as sight
+from .operators.ordering import numbered, shared_folder
+from .plans import publication
 from .plans import vocabulary as V
 from .sources.files import table
 from .streaming.harvest import harvested
@@ -91,18 +92,29 @@ def d_tidy(x: str) -> str:
 
 # ---- sightings ------------------------------------------------------------------------------------------------------
 
-SIGHTINGS = """
-SELECT e.event_id AS msg, e.user_id AS ch, e.event_type AS chan, CAST(CAST(e.ts AS DATE) AS VARCHAR) AS date, p.url, p.page_id, CASE WHEN e.event_id % 7 = 0 THEN 'newsletter' ELSE 'chat' END AS src
-FROM (SELECT ev.*, ev.event_id % n.n AS page_ref FROM events ev CROSS JOIN (SELECT count(*) AS n FROM pages) n) e JOIN pages p ON p.page_id = e.page_ref"""
+
+def d_commentary(x: str) -> str:
+    return f"substr(trim(regexp_replace(regexp_replace(coalesce({x}, ''), 'https?://\\S+', ' ', 'g'), '\\s+', ' ', 'g'), ' -–—:•|'), 1, 300)"
+
+
+SIGHTINGS = f"""
+SELECT e.event_id AS msg, e.user_id AS ch, e.event_type AS chan, CAST(CAST(e.ts AS DATE) AS VARCHAR) AS date, p.url, p.page_id, CASE WHEN e.event_id % 7 = 0 THEN 'newsletter' ELSE 'chat' END AS src,
+CASE WHEN e.event_id % 11 = 0 THEN 'Link ' || e.event_id WHEN e.event_id % 13 = 0 THEN 'https://shown.example/' || e.event_id END AS text, CASE WHEN e.event_id % 3 = 0 THEN coalesce(d.said, '') ELSE '' END AS said
+FROM (SELECT ev.*, ev.event_id % n.n AS page_ref, ev.event_id % n.d AS doc_ref FROM events ev CROSS JOIN (SELECT (SELECT count(*) FROM pages) AS n, (SELECT count(*) FROM documents) AS d) n) e
+JOIN pages p ON p.page_id = e.page_ref LEFT JOIN (SELECT doc_id, {d_commentary('text')} AS said FROM documents) d ON d.doc_id = e.doc_ref"""
 
 
 def sightings(spark: SparkSession, d: str) -> DataFrame:
-    """(msg, ch, chan, date, url, page_id, src, seq, id) of the stand-in stream."""
+    """(msg, ch, chan, date, url, page_id, src, text, said, seq, id) of the stand-in stream: every event is a sighting of a page, some with a link text or a remark."""
     pages = table(spark, d, "pages").select("page_id", "url")
-    n = pages.agg(F.count(F.lit(1)).alias("n"))  # one row
-    events = table(spark, d, "events").crossJoin(F.broadcast(n)).withColumn("page_ref", F.col("event_id") % F.col("n"))
-    rows = events.join(pages, F.col("page_ref") == F.col("page_id"))
-    return rows.select(F.col("event_id").alias("msg"), F.col("user_id").alias("ch"), F.col("event_type").alias("chan"), F.col("ts").cast("date").cast("string").alias("date"), "url", "page_id", F.when(F.col("event_id") % 7 == 0, "newsletter").otherwise("chat").alias("src"), F.col("event_id").alias("seq"), F.col("event_id").alias("id"))
+    docs = table(spark, d, "documents").select("doc_id", text.commentary(F.col("text")).alias("_said"))
+    n = pages.agg(F.count(F.lit(1)).alias("n")).crossJoin(table(spark, d, "documents").agg(F.count(F.lit(1)).alias("m")))  # one row
+    events = table(spark, d, "events").crossJoin(F.broadcast(n)).withColumn("page_ref", F.col("event_id") % F.col("n")).withColumn("doc_ref", F.col("event_id") % F.col("m"))
+    rows = events.join(pages, F.col("page_ref") == F.col("page_id")).join(docs, F.col("doc_ref") == F.col("doc_id"), "left")
+    number = F.col("event_id")
+    shown = F.when(number % 11 == 0, F.concat(F.lit("Link "), number.cast("string"))).when(number % 13 == 0, F.concat(F.lit("https://shown.example/"), number.cast("string")))
+    said = F.when(number % 3 == 0, F.coalesce("_said", F.lit(""))).otherwise("")
+    return rows.select(number.alias("msg"), F.col("user_id").alias("ch"), F.col("event_type").alias("chan"), F.col("ts").cast("date").cast("string").alias("date"), "url", "page_id", F.when(number % 7 == 0, "newsletter").otherwise("chat").alias("src"), shown.alias("text"), said.alias("said"), number.alias("seq"), number.alias("id"))
 
 
 def cache_of(spark: SparkSession, d: str) -> DataFrame:
@@ -117,24 +129,58 @@ def cache_of(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_TITLE = r"""substr(trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')), 1, 160)"""
+def d_decoded(x: str) -> str:
+    return f"""replace(replace(replace(replace({x}, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"""
+
+
+_RAW_TITLE = r"regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+_TITLE = rf"""substr(trim(regexp_replace({d_decoded(_RAW_TITLE)}, '\s+', ' ', 'g')), 1, 160)"""
 CACHE = f"""SELECT key, url, page_id % 5 <> 0 AS ok, CASE WHEN page_id % 5 <> 0 THEN {_TITLE} END AS title, CAST(NULL AS VARCHAR) AS description, CASE WHEN page_id % 15 = 0 THEN 'agent' END AS via,
 TIMESTAMP '2024-01-30' - to_days(CAST(page_id % 60 AS INTEGER)) AS fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id) AS n FROM ({d_key('pages')})) WHERE n = 1"""
 
 
 def archive_rows(spark: SparkSession, d: str) -> DataFrame:
-    return sight.enriched(sightings(spark, d), cache_of(spark, d))
+    rows = sightings(spark, d)
+    return sight.enriched(rows, cache_of(spark, d), sight.channel_slugs(rows.select(F.col("chan").alias("name")).distinct()))
 
 
 # what enriched() makes of a sighting, as SQL
+def d_tags(kind: str, title: str, description: str, host: str, url: str, repo: str) -> str:
+    # letters of any language bound a word, which DuckDB's \\b doesn't know: they are made Latin ones
+    hay = f"regexp_replace(lower({title} || ' ' || {description} || ' ' || coalesce({host}, '') || ' ' || coalesce({url}, '')), '[^\\x00-\\x7F\\P{{L}}]', 'z', 'g')"
+    found = lambda pattern: f"regexp_matches({hay}, {literal(pattern)})"
+    named = [f"CASE WHEN {found(p)} THEN '{slug}' END" for p, slug, _, _ in V.TOPICS]
+    source = next(p for p, slug, _, _ in V.TOPICS if slug == "opensource")
+    more = [f"CASE WHEN {repo} IS NOT NULL AND NOT {found(source)} THEN 'opensource' END", f"CASE WHEN ends_with(coalesce({host}, ''), 'wikipedia.org') THEN 'wikipedia' END", f"CASE WHEN regexp_matches(coalesce({host}, ''), {literal(V.VIDEO_HOST)}) OR {found(V.VIDEO_WORD)} THEN 'video' END"]
+    return f"list_filter([{', '.join([kind, *named, *more])}], lambda t: t IS NOT NULL)"
+
+
 _KIND = f"CASE WHEN regexp_matches(lower(chan), '{V.CHANNEL_KINDS[0][0]}') THEN 'read' WHEN regexp_matches(lower(chan), '{V.CHANNEL_KINDS[1][0]}') THEN 'til' WHEN regexp_matches(lower(chan), '{V.CHANNEL_KINDS[2][0]}') THEN 'tool' WHEN regexp_matches(host, '{V.READ_HOST}') THEN 'read' ELSE 'tool' END"
 _NAME = f"""CASE WHEN seg IS NOT NULL AND length(said) > 2 AND NOT regexp_matches(said, '^[^A-Za-z_]+$') THEN upper(substr(said, 1, 1)) || substr(said, 2) ELSE host END"""
-ENRICHED = f"""SELECT s.*, {d_host('s.url')} AS host, substr(coalesce(CASE WHEN c.title <> '' AND NOT regexp_matches(c.title, '^https?://') THEN c.title END, n.name), 1, 200) AS title, '' AS description
-FROM ({d_key(f'({SIGHTINGS})')}) s LEFT JOIN ({CACHE}) c ON s.key = c.key JOIN (SELECT page_id, {_NAME} AS name FROM (SELECT page_id, {d_host('url')} AS host, seg, trim(regexp_replace(regexp_replace(seg, '\\.(html?|php|aspx?|md|pdf)$', ''), '[-_+]+', ' ', 'g')) AS said
+_NAMED = lambda x: f"CASE WHEN coalesce({x}, '') <> '' AND NOT regexp_matches({x}, '^https?://') THEN {x} END"
+_WITH_TEXT = f"""SELECT s.* EXCLUDE (text, said), {d_host('s.url')} AS host, {d_repo('s.url')} AS repo, substr(coalesce({_NAMED('trim(s.text)')}, {_NAMED('trim(c.title)')}, n.name), 1, 200) AS title,
+substr(CASE WHEN length(s.remark) >= 20 THEN s.remark ELSE '' END, 1, 500) AS description
+FROM (SELECT *, {d_tidy('said')} AS remark FROM ({d_key(f'({SIGHTINGS})')})) s LEFT JOIN ({CACHE}) c ON s.key = c.key JOIN (SELECT page_id, {_NAME} AS name FROM (SELECT page_id, {d_host('url')} AS host, seg, trim(regexp_replace(regexp_replace(seg, '\\.(html?|php|aspx?|md|pdf)$', ''), '[-_+]+', ' ', 'g')) AS said
 FROM (SELECT page_id, url, list_filter(string_split(split_part(regexp_replace(url, '^https?://[^/]+', ''), '?', 1), '/'), lambda x: x <> '')[-1] AS seg FROM pages))) n ON n.page_id = s.page_id"""
-RANKED = f"""SELECT *, row_number() OVER (PARTITION BY key ORDER BY (src = 'newsletter') DESC, length(description) DESC, (title <> '' AND NOT starts_with(title, 'http')) DESC, date, msg) AS place FROM ({ENRICHED})"""
+ENRICHED = f"""SELECT *, list_concat({d_tags('kind', 'title', 'description', 'host', 'url', 'repo')}, CASE WHEN src = 'newsletter' THEN [] ELSE ['discord', chan] END) AS tags FROM (SELECT *, {_KIND} AS kind FROM ({_WITH_TEXT}))"""
+RANKED = f"""SELECT *, row_number() OVER (PARTITION BY key ORDER BY (src = 'newsletter') DESC, length(description) DESC, (title <> '' AND NOT starts_with(title, 'http')) DESC, date, msg) AS place, row_number() OVER (PARTITION BY key ORDER BY date, msg) AS turn FROM ({ENRICHED})"""
 FOLDED = f"""SELECT b.key, b.url, b.src, b.msg AS id, b.title, b.date, b.host, b.chan, g.n, g.first, g.last, g.key_seq FROM (SELECT * FROM ({RANKED}) WHERE place = 1) b JOIN (SELECT key, count(*) AS n, min(date) AS first, max(date) AS last, min(msg) AS key_seq FROM ({ENRICHED}) GROUP BY key) g ON b.key = g.key"""
 
+
+def d_union(ranked: str) -> str:
+    """(key, tag, m): the distinct tags of a key, m giving their order; ranked has place (1 survives), turn (the order of the others) and tags."""
+    each = f"SELECT key, unnest(tags) AS tag, (CASE WHEN place = 1 THEN 0 ELSE turn END) * 1000 + generate_subscripts(tags, 1) AS m FROM ({ranked})"
+    return f"SELECT key, tag, min(m) AS m FROM ({each}) GROUP BY key, tag"
+
+
+def d_facets(tags: str, channels: list[str]) -> str:
+    """Facets of a table with a row for each entry and tag."""
+    names = {slug: (label, facet) for _, slug, label, facet in V.TOPICS} | {k: (v[0], "kind") for k, v in V.KINDS.items()} | {k: (v, "source") for k, v in V.SOURCE_TAGS.items()}
+    names = {c: (f"#{c}", "channel") for c in channels} | names
+    pick = lambda i: f"CASE tag {' '.join(f'WHEN {literal(k)} THEN {literal(v[i])}' for k, v in names.items())} END"
+    return f"SELECT tag AS slug, {pick(0)} AS label, {pick(1)} AS facet, count(*) AS n FROM ({tags}) GROUP BY tag"
+
+
 # ---- URLs -----------------------------------------------------------------------------------------------------------
 
 EDGE_URLS = [
@@ -186,12 +232,12 @@ def handler_route(spark, d):
 # ---- text -----------------------------------------------------------------------------------------------------------
 
 
-@query(f"SELECT doc_id, {d_tidy('substr(text, 1, 400)')} AS tidy FROM documents")
+@query(f"SELECT doc_id, {d_tidy('text')} AS tidy FROM documents")
 def tidy_desc(spark, d):
     return table(spark, d, "documents").select("doc_id", text.tidy(F.col("text")).alias("tidy"))
 
 
-@query("SELECT doc_id, substr(trim(regexp_replace(regexp_replace(coalesce(text, ''), 'https?://\\S+', ' ', 'g'), '\\s+', ' ', 'g'), ' -–—:•|'), 1, 300) AS said FROM documents")
+@query(f"SELECT doc_id, {d_commentary('text')} AS said FROM documents")
 def commentary(spark, d):
     return table(spark, d, "documents").select("doc_id", text.commentary(F.col("text")).alias("said"))
 
@@ -285,8 +331,10 @@ def dedupe_survivor(spark, d):
 
 @query(f"SELECT key, string_agg(src || ':' || date || ':' || chan, ',' ORDER BY date, msg) AS also FROM ({RANKED}) WHERE place > 1 GROUP BY key")
 def dedupe_also(spark, d):
-    rows = archive.folded(archive_rows(spark, d)).where("also is not null")
-    return rows.select("key", F.array_join(F.transform("also", lambda o: F.concat_ws(":", o["src"], o["date"], o["chan"])), ",").alias("also"))
+    rows = archive_rows(spark, d)
+    merged = archive.folded(rows)
+    nested = archive.with_also(merged, archive.occurrences(rows, merged)).where("also is not null")
+    return nested.select("key", F.array_join(F.transform("also", lambda o: F.concat_ws(":", o["src"], o["date"], o["chan"])), ",").alias("also"))
 
 
 @query(f"SELECT key, n, first, last FROM ({FOLDED})")
@@ -294,7 +342,7 @@ def first_last_seen(spark, d):
     return archive.folded(archive_rows(spark, d)).select("key", "n", "first", "last")
 
 
-@query()
+@query(f"SELECT key, string_agg(tag, ',' ORDER BY m) AS tags FROM ({d_union(RANKED)}) GROUP BY key")
 def tag_union(spark, d):
     return archive.folded(archive_rows(spark, d)).select("key", F.array_join("tags", ",").alias("tags"))
 
@@ -316,20 +364,24 @@ def channel_list(spark, d):
 
 @query(f"SELECT count(*) AS both_sources, CAST(count(*) FILTER (first < date) AS BIGINT) AS chat_first FROM (SELECT f.key, f.first, f.date FROM ({FOLDED}) f JOIN (SELECT key FROM ({ENRICHED}) GROUP BY key HAVING count(DISTINCT src) = 2) b ON f.key = b.key)")
 def cross_source_overlap(spark, d):
-    rows = archive.folded(archive_rows(spark, d))
-    both = F.array_distinct(F.concat(F.array("src"), F.transform(F.coalesce("also", F.array().cast("array<struct<src:string,date:string,chan:string>>")), lambda o: o["src"])))
-    return rows.where(F.size(both) == 2).agg(F.count(F.lit(1)).alias("both_sources"), F.count_if(F.col("first") < F.col("date")).alias("chat_first"))
+    rows = archive_rows(spark, d)
+    merged = archive.folded(rows)
+    sources = rows.where("key is not null").groupBy("key").agg(F.count_distinct("src").alias("sources")).where("sources = 2").select(F.col("key").alias("_key"))
+    return merged.join(sources, F.col("key") == F.col("_key"), "left_semi").agg(F.count(F.lit(1)).alias("both_sources"), F.count_if(F.col("first") < F.col("date")).alias("chat_first"))
 
 
-@query(f"SELECT key, row_number() OVER (ORDER BY CASE WHEN src = 'newsletter' THEN 0 ELSE 1 END, id, key_seq) - 1 AS entry_id FROM ({FOLDED})")
+@query(f"SELECT key, row_number() OVER (ORDER BY CASE WHEN src = 'newsletter' THEN 0 ELSE 1 END, id, key_seq) AS entry_id FROM ({FOLDED})")
 def stable_ids(spark, d):
     return archive.with_ids(archive.folded(archive_rows(spark, d))).select("key", "entry_id")
 
 
-@query()
+CHANNELS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query(d_facets(d_union(RANKED), CHANNELS))
 def facet_counts(spark, d):
-    meta = [(s, label, facet) for _, s, label, facet in V.TOPICS] + [(k, v[0], "kind") for k, v in V.KINDS.items()] + [(k, v, "source") for k, v in V.SOURCE_TAGS.items()]
-    return archive.facet_counts(archive.folded(archive_rows(spark, d)), spark.createDataFrame(list({m[0]: m for m in meta}.values()), "slug string, label string, facet string"))
+    rows = archive_rows(spark, d)
+    return archive.facet_counts(archive.folded(rows), publication.tag_names(spark), sight.channel_slugs(rows.select(F.col("chan").alias("name")).distinct()))
 
 
 @query(f"SELECT key, last FROM ({FOLDED}) WHERE CAST(last AS DATE) >= DATE '{ASOF}' - 7")
@@ -342,9 +394,9 @@ def trace_first_last(spark, d):
     return archive.trace(archive.folded(archive_rows(spark, d)))
 
 
-@query(f"SELECT key FROM ({FOLDED}) WHERE regexp_matches(host, '(^|\\.)blog\\.[A-Za-z0-9_.-]+$')")
+@query(f"SELECT key FROM ({d_union(RANKED)}) WHERE tag IN ('read', 'purchase') GROUP BY key HAVING count(*) = 2")
 def facet_filter(spark, d):
-    return archive.with_tag(archive.folded(archive_rows(spark, d)), "read").select("key")
+    return archive.with_tag(archive.folded(archive_rows(spark, d)), "read", "purchase").select("key")
 
 
 # ---- enrichment -----------------------------------------------------------------------------------------------------
@@ -428,8 +480,7 @@ def archived_after_cursor(spark, d):
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_harvest(spark, d):
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkloom-")
-    state = f"{folder}/harvest-{uuid.uuid4().hex}"
+    state = f"{shared_folder(spark)}/harvest-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     return harvested(spark, d, "events.parquet", schema, state).select("event_id", "user_id", "event_type")
 
@@ -491,6 +542,107 @@ def rewrite_descriptions(spark, d):
     return newsletter.rewritten(rows, inline(spark, "('1::https://ex.com/a', 'Clean'), ('1::q:Words', '')", "rewrite_key, clean")).select("rewrite_key", "clean")
 
 
+# ---- the publication ------------------------------------------------------------------------------------------------
+
+#: Sections of the stand-in newsletter, whose items are every fourth page: (heading as written, as cleaned, kind).
+SECTIONS = [("Builders' Nest", "Builders' Nest", "tool"), ("Cool stuff", "Cool stuff", "awe"), ("TILs", "TILs", "til"), ("What's happening", "What's happening", "news"), ("Off-topic reads &amp; watches", "Off-topic reads & watches", "read")]
+HIDDEN = (*V.HIDDEN_CHANNELS, "error")
+
+
+def newsletter_editions(spark: SparkSession, d: str) -> DataFrame:
+    """(ed, slug, title, published, body): editions whose sections list pages, and a quote each."""
+    page = F.col("page_id")
+    raw = F.regexp_extract("html", V.TITLE, 1)
+    n = page.cast("string")
+    after = F.concat(F.lit('<li>🔥 <strong><a href="'), "url", F.lit('">'), raw, F.lit("</a></strong>, and number "), n, F.lit(" of the pages we liked</li>"))
+    before = F.concat(F.lit("<li>Number "), n, F.lit(': <a href="'), "url", F.lit('">'), raw, F.lit("</a></li>"))
+    items = table(spark, d, "pages").where(page % 4 == 0).select((F.floor(page / 20) % 100 + 1).cast("int").alias("ed"), (F.floor(page / 4) % 5).cast("int").alias("part"), page, F.when(page % 8 == 0, after).otherwise(before).alias("li"))
+    parts = items.groupBy("ed", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "li"))), lambda x: x["li"]), "").alias("ul"))
+    heading = F.get(F.array(*[F.lit(h) for h, _, _ in SECTIONS]), F.col("part"))
+    parts = parts.select("ed", "part", F.concat(F.lit("<h2>"), heading, F.lit("</h2><ul>"), "ul", F.lit("</ul>")).alias("section"))
+    ed = F.col("ed").cast("string")
+    quote = F.concat(F.lit("<h2>Wisdom bits</h2><blockquote>“Saying "), ed, F.lit("”<br>— Author "), ed, F.lit("</blockquote><p>see letters.example/p/1 and letters.example/"), ed, F.lit("</p>"))
+    body = F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "section"))), lambda x: x["section"]), ""), F.first(quote))
+    return parts.groupBy("ed").agg(body.alias("body")).select("ed", F.concat(F.lit("edition-"), ed).alias("slug"), F.concat(F.lit("Edition "), ed).alias("title"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("ed")).cast("string").alias("published"), "body")
+
+
+def newsletter_rows(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(sections with kinds, entries as the archive takes them) of the stand-in newsletter."""
+    editions = newsletter_editions(spark, d)
+    found = newsletter.with_kind(newsletter.sections(editions), excluded=V.excluded_sections("letters"))
+    return found, newsletter.curated(newsletter.entries(found, SITE), editions.select("ed", F.col("published").alias("date")))
+
+
+_PART = lambda i: f"CASE part {' '.join(f'WHEN {n} THEN {literal(s[i])}' for n, s in enumerate(SECTIONS))} END"
+_ITEMS = f"SELECT CAST((page_id // 20) % 100 + 1 AS INTEGER) AS ed, (page_id // 4) % 5 AS part, page_id, url, trim({d_decoded(_RAW_TITLE)}) AS title, 'Number ' || page_id || CASE WHEN page_id % 8 = 0 THEN ' of the pages we liked.' ELSE '.' END AS description, CASE WHEN page_id % 8 = 0 THEN '🔥' END AS marker FROM pages WHERE page_id % 4 = 0"
+_LISTED = f"""SELECT ed, part, page_id, url, title, description, marker, {_PART(1)} AS heading, {_PART(2)} AS kind, CAST(NULL AS VARCHAR) AS attribution FROM ({_ITEMS}) WHERE title <> ''
+UNION ALL SELECT DISTINCT ed, 5, 0, CAST(NULL AS VARCHAR), 'Saying ' || ed, '', CAST(NULL AS VARCHAR), 'Wisdom bits', 'quote', 'Author ' || ed FROM ({_ITEMS})"""
+_CURATED = f"SELECT *, row_number() OVER (ORDER BY ed, part, page_id) AS id, CAST(DATE '2024-01-01' + ed AS VARCHAR) AS date FROM ({_LISTED}) WHERE kind <> 'news'"
+
+
+@query(f"SELECT id, ed, kind, heading, title, description, attribution, marker, url, date FROM ({_CURATED})")
+def newsletter_index(spark, d):
+    return newsletter_rows(spark, d)[1].select("id", "ed", "kind", "heading", "title", "description", "attribution", "marker", "url", "date")
+
+
+@query(f"SELECT ed || '::' || coalesce(url, 'q:' || title) AS rewrite_key, title, description FROM ({_CURATED}) WHERE description <> ''")
+def rewrite_todo(spark, d):
+    return newsletter.to_rewrite(newsletter_rows(spark, d)[1])
+
+
+@query(f"""SELECT e.ed, 'edition-' || e.ed AS slug, 'Edition ' || e.ed AS title, 'https://letters.example/p/edition-' || e.ed AS url, CAST(DATE '2024-01-01' + e.ed AS VARCHAR) AS published, CASE WHEN e.ed = 1 THEN '' ELSE '1' END AS refs, coalesce(c.n, 0) AS n_entries
+FROM (SELECT DISTINCT ed FROM ({_ITEMS})) e LEFT JOIN (SELECT ed, count(*) AS n FROM ({_CURATED}) GROUP BY ed) c ON c.ed = e.ed""")
+def edition_index(spark, d):
+    rows = newsletter.edition_table(newsletter_editions(spark, d), newsletter_rows(spark, d)[1], SITE, "https://letters.example")
+    return rows.select("ed", "slug", "title", "url", "published", F.array_join(F.transform("refs", lambda n: n.cast("string")), ",").alias("refs"), "n_entries")
+
+
+def published(spark: SparkSession, d: str) -> publication.Publication:
+    """The archive of the stand-in newsletter and chat."""
+    rows = sightings(spark, d)
+    said = rows.select("msg", F.col("chan").alias("ch"), "date", F.concat(F.lit("user"), F.col("ch").cast("string")).alias("author"), "said", F.lit(0).alias("pos"), "url", "text")
+    channels = rows.select(F.col("chan").alias("ch"), F.concat(F.lit("#"), "chan").alias("name"), F.lit("").alias("parent")).distinct()
+    channels = channels.withColumn("name", F.regexp_replace("name", "^#", ""))
+    return publication.built(newsletter_rows(spark, d)[1], said, channels, cache_of(spark, d), "9", HIDDEN)
+
+
+_NIB = f"""SELECT 'newsletter' AS src, kind, heading, title, description, url, key, {d_host('url')} AS host, {d_repo('url')} AS repo, date, ed, CAST(NULL AS VARCHAR) AS chan, CAST(NULL AS BIGINT) AS msg, id, id AS seq,
+CASE WHEN kind = 'quote' THEN ['quote'] ELSE {d_tags('kind', 'title', 'description', d_host('url'), 'url', d_repo('url'))} END AS tags FROM ({d_key(f'({_CURATED})')})"""
+_LABEL = f"CASE kind {' '.join(f'WHEN {literal(k)} THEN {literal(v[0])}' for k, v in V.KINDS.items())} END"
+_CHAT = f"""SELECT 'chat' AS src, kind, {_LABEL} AS heading, title, description, url, key, host, repo, date, CAST(NULL AS INTEGER) AS ed, chan, msg, CAST(NULL AS BIGINT) AS id, 1000000000 + msg AS seq,
+list_concat({d_tags('kind', 'title', 'description', 'host', 'url', 'repo')}, ['discord', chan]) AS tags FROM (SELECT *, {_KIND} AS kind FROM ({_WITH_TEXT})) WHERE chan <> 'error' AND key IS NOT NULL AND NOT regexp_matches(host, '{V.FURNITURE_HOST}') AND NOT regexp_matches(host, '{V.JOB_HOST}') AND NOT regexp_matches(lower({d_path('url')}), '{V.JOB_PATH}')"""
+_BOTH = f"""SELECT *, row_number() OVER (PARTITION BY k ORDER BY (src = 'newsletter') DESC, length(description) DESC, (title <> '' AND NOT starts_with(title, 'http')) DESC, date, coalesce(id, 0), seq) AS place, row_number() OVER (PARTITION BY k ORDER BY date, coalesce(id, 0), seq) AS turn
+FROM (SELECT *, coalesce(key, 'single ' || seq) AS k FROM (SELECT * FROM ({_NIB}) UNION ALL SELECT * FROM ({_CHAT})))"""
+_UNION = d_union(_BOTH.replace("SELECT *, row_number()", "SELECT * EXCLUDE (key) RENAME (k AS key), row_number()", 1))
+_MERGED = f"""SELECT row_number() OVER (ORDER BY CASE WHEN src = 'newsletter' THEN 0 ELSE 1 END, CASE WHEN src = 'newsletter' THEN id ELSE msg END) AS entry_id, b.*, g.n, g.first, g.last, t.all_tags
+FROM (SELECT * FROM ({_BOTH}) WHERE place = 1) b JOIN (SELECT k, count(*) AS n, min(date) AS first, max(date) AS last FROM ({_BOTH}) GROUP BY k) g ON g.k = b.k JOIN (SELECT key AS tk, string_agg(tag, ',' ORDER BY m) AS all_tags FROM ({_UNION}) GROUP BY key) t ON t.tk = b.k"""
+
+
+@query(f"SELECT entry_id, src, kind, heading, title, description, url, host, repo, date, ed, chan, first, last, n, all_tags AS tags FROM ({_MERGED})")
+def publish_index(spark, d):
+    return published(spark, d).entries.select("entry_id", "src", "kind", "heading", "title", "description", "url", "host", "repo", "date", "ed", "chan", "first", "last", "n", F.array_join("tags", ",").alias("tags"))
+
+
+@query(d_facets(_UNION, ["click", "purchase", "signup", "view"]))
+def publish_facets(spark, d):
+    return published(spark, d).facets
+
+
+@query(f"SELECT b.k AS key, b.src, b.date, b.ed, b.chan, CASE WHEN b.msg IS NOT NULL THEN 'https://discord.com/channels/9/' || b.chan || '/' || b.msg END AS msg_url FROM ({_BOTH}) b WHERE place > 1")
+def publish_occurrences(spark, d):
+    return published(spark, d).occurrences.select("key", "src", "date", "ed", "chan", "msg_url")
+
+
+@query(f"SELECT CAST(count(*) FILTER (src = 'newsletter') AS BIGINT) AS newsletter, CAST(count(*) FILTER (src = 'chat') AS BIGINT) AS chat, CAST(sum(n - 1) AS BIGINT) AS collapsed, count(DISTINCT coalesce(key, 'quote::' || title)) AS entities FROM ({_MERGED})")
+def publish_figures(spark, d):
+    return published(spark, d).figures
+
+
+@query(f"SELECT chan, n, row_number() OVER (ORDER BY n DESC, f) AS place FROM (SELECT chan, count(*) AS n, min(kf) AS f FROM (SELECT m.*, (SELECT min(seq) FROM ({_BOTH}) b WHERE b.k = m.k) AS kf FROM ({_MERGED}) m) WHERE src = 'chat' GROUP BY chan)")
+def publish_per_channel(spark, d):
+    return archive.per_channel(published(spark, d).entries).select("chan", "n", "place")
+
+
 # ---- search ---------------------------------------------------------------------------------------------------------
 
 TERMS, SYNONYMS = ["license", "token"], {"license": ["released"], "token": ["secret", "mit"]}
@@ -505,7 +657,7 @@ def _d_keyword(literals: int) -> str:
     return f"SELECT doc_id, CAST({' + '.join(f'CAST(h_{i} AS BIGINT)' for i in range(literals))} AS BIGINT) AS literal, round({score}, 6) AS score FROM ({_HITS}) CROSS JOIN ({_WEIGHTS}) WHERE {' OR '.join(f'h_{i}' for i in range(5))}"
 
 
-QUERY_VECTORS = "SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id < 3"
+QUERY_VECTORS = "SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id % 100 = 0"
 _SIMS = f"SELECT query_id, vec_id, round(list_sum(list_transform(list_zip(e.embedding, q.q), lambda p: CAST(p[1] AS DOUBLE) * CAST(p[2] AS DOUBLE))), 6) AS similarity FROM embeddings e CROSS JOIN ({QUERY_VECTORS}) q"
 
 
@@ -547,11 +699,11 @@ _KEYRANK = f"SELECT doc_id, row_number() OVER (ORDER BY literal DESC, score DESC
 _VECRANK = f"SELECT vec_id AS doc_id, row_number() OVER (ORDER BY similarity DESC, vec_id) AS rb FROM ({_SIMS}) WHERE query_id = 0"
 
 
-@query(f"SELECT doc_id, round(coalesce(1.0::DOUBLE / (60 + ra), 0) + coalesce(1.0::DOUBLE / (60 + rb), 0), 9) AS score FROM (SELECT * FROM ({_KEYRANK}) WHERE ra <= 200) FULL JOIN (SELECT * FROM ({_VECRANK}) WHERE rb <= 100) USING (doc_id)")
+@query(f"SELECT doc_id, round(coalesce(1.0::DOUBLE / (60 + ra), 0) + coalesce(1.0::DOUBLE / (60 + rb), 0), 9) AS score FROM ({_KEYRANK}) FULL JOIN ({_VECRANK}) USING (doc_id)")
 def rrf_fusion(spark, d):
     words = search.ranking(keyword_synonym_search(spark, d))
     sims = search.similarities(table(spark, d, "embeddings"), query_vectors(spark, d).where("query_id = 0"))
-    near = search.numbered(sims, [F.col("similarity").desc(), F.col("vec_id")]).select(F.col("vec_id").alias("doc_id"), "rank")
+    near = numbered(sims, [F.col("similarity").desc(), F.col("vec_id")]).select(F.col("vec_id").alias("doc_id"), "rank")
     return search.fused(words, near).select("doc_id", "score")
 
 

@@ -17,14 +17,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def document(spark: SparkSession, path: str, schema: str, default: list | None = None) -> DataFrame:
+    """A JSON document, or rows of default where there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return spark.read.schema(schema).option("multiLine", True).json(path) if there else spark.createDataFrame(default or [], schema)
+
+
+def archive_cursors(spark: SparkSession, path: str) -> DataFrame:
+    """(ch, stamp): up to where the archived threads of each channel were scanned."""
+    return document(spark, path, HARVEST).select(F.explode("archiveCursors").alias("ch", "stamp"))
+
+
 def harvest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(channels, messages) of a harvest document; one of a single channel is read as if it had a channel map. A missing document is empty."""
-    try:
-        doc = spark.read.schema(HARVEST).option("multiLine", True).json(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        doc = spark.createDataFrame([], HARVEST)
+    doc = document(spark, path, HARVEST)
     old = F.map_from_arrays(F.array("channelId"), F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("parent"), F.col("lastMessageId"), F.lit(None).cast("boolean").alias("denied"))))
     full = doc.withColumn("channels", F.coalesce("channels", F.when(F.col("channelId").isNotNull(), old)))
     channels = full.select(F.explode("channels").alias("ch", "c")).select("ch", "c.*")
@@ -51,14 +58,28 @@ def embedded(spark: SparkSession, path: str, schema: str, marker: str = "const B
     return line.select(F.from_json(F.regexp_replace(F.trim(F.substring("value", len(marker) + 1, 1 << 30)), ";$", ""), schema).alias("v")).select("v.*")
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Replaces a table as a whole: written beside, then moved, so that readers never see half of it."""
+def publish(df: DataFrame, path: str, order: str | None = None) -> None:
+    """Replaces a table as a whole: written beside (in ascending order of a column, by its number, if one is given), the old table is moved
+    aside, the new one into its place, and the old one goes. If the last move fails the old table is moved back."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    beside = f"{path}.new-{uuid.uuid4().hex}"
-    df.write.parquet(beside)
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
-    fs = old.getFileSystem(conf)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"can't move {beside} to {path}")
+    mark = uuid.uuid4().hex
+    if order is not None:
+        df = df.orderBy(F.col(order).cast("long"), order)
+    df.write.parquet(f"{path}.new-{mark}")
+    now, new, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.new-{mark}", f"{path}.old-{mark}"))
+    fs = now.getFileSystem(conf)
+    had = fs.exists(now)
+    if had and not fs.rename(now, old):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(new, now):
+        if had:
+            fs.rename(old, now)
+        raise OSError(f"can't move {path}.new-{mark} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def dump(df: DataFrame, path: str) -> None:
+    """A table as JSON lines."""
+    df.write.mode("overwrite").json(path)

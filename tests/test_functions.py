@@ -78,7 +78,9 @@ def sightings(spark, order=1):
 
 
 def test_folded(spark):
-    out = {(r.key or r.seq): r for r in archive.folded(sightings(spark)).collect()}
+    merged = archive.folded(sightings(spark))
+    nested = archive.with_also(merged, archive.occurrences(sightings(spark), merged))
+    out = {(r.key or r.seq): r for r in nested.collect()}
     assert out["a"].title == "B" and out["a"]["first"] == "2024-01-05" and out["a"]["last"] == "2024-02-01" and out["a"].tags == ["read", "web", "tool", "ai"]
     assert [o.chan for o in out["a"].also] == ["reads", "tools"]
     assert out["b"].title == "E" and len(out) == 4

@@ -1,4 +1,4 @@
-"""Queries that take whole inputs, against plain versions; the registered SQL of some still has the cuts that they had."""
+"""Queries that take whole inputs, against plain versions."""
 
 from pyspark.sql import functions as F
 
