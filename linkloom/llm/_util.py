@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 
 import pyarrow.fs
@@ -14,11 +15,13 @@ BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session gets one of its own (tests); a cluster has
+    to name one, since a machine's own folder would be another on every executor."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"file:///tmp/linkloom-shared-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/linkloom-shared-{spark.sparkContext.applicationId}"
     return base.rstrip("/")
 
 
@@ -27,8 +30,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """Arrow's filesystem of a folder's address, and the path in it."""
-    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", folder))
+    """Arrow's filesystem of a folder's address, and the path in it. Addresses that only Hadoop's names differ in are put in Arrow's: s3a and s3n as
+    s3, abfss as abfs, dbfs as the folder under which it is mounted."""
+    for pattern, put in ((r"^file:/*", "file:///"), (r"^s3[an]:", "s3:"), (r"^abfss:", "abfs:"), (r"^dbfs:/*", "file:///dbfs/")):
+        folder = re.sub(pattern, put, folder)
+    return pyarrow.fs.FileSystem.from_uri(folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -57,21 +63,22 @@ def numbered(df: DataFrame, group: list[str], order: list[str], out: str) -> Dat
     """Gapless numbers from 0 within each group, without a task that holds a whole group.
 
     Rows are dealt by range over (group, order), numbered inside their partition, and moved by
-    the counts of the partitions before. Ties get any of their numbers. df is written once.
+    the counts of the partitions before. Ties get any of their numbers. df is written once; a column out is replaced.
     """
-    n = partitions(df.sparkSession)
+    df = df.drop(out)
+    n, pid, row = partitions(df.sparkSession), f"{out}__pid", f"{out}__row"
     cols = [F.col(c) for c in [*group, *order]]
     dealt = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    row = F.monotonically_increasing_id()
-    dealt = written(dealt.withColumn("_pid", F.shiftright(row, 33)).withColumn("_row", row.bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
-    blocks = dealt.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    at = F.monotonically_increasing_id()
+    dealt = written(dealt.withColumn(pid, F.shiftright(at, 33)).withColumn(row, at.bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
+    blocks = dealt.groupBy(*group, pid).agg(F.count(F.lit(1)).alias(f"{out}__n"), F.min(row).alias(f"{out}__first"))
     # one row for each partition and group that meet: about partitions + groups of them
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    right = blocks.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)], F.col("_pid").alias("_p"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    same = F.col("_pid") == F.col("_p")
+    before = Window.partitionBy(*group).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    right = blocks.select(*[F.col(g).alias(f"{out}__g{k}") for k, g in enumerate(group)], F.col(pid).alias(f"{out}__p"), f"{out}__first", F.coalesce(F.sum(f"{out}__n").over(before), F.lit(0)).alias(f"{out}__offset"))
+    same = F.col(pid) == F.col(f"{out}__p")
     for k, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{k}"))
-    return dealt.join(right, same).withColumn(out, (F.col("_row") - F.col("_first") + F.col("_offset")).cast("long")).select(*df.columns, out)
+        same = same & F.col(g).eqNullSafe(F.col(f"{out}__g{k}"))
+    return dealt.join(right, same).withColumn(out, (F.col(row) - F.col(f"{out}__first") + F.col(f"{out}__offset")).cast("long")).select(*df.columns, out)
 
 
 def unit(*cols: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,47 +17,50 @@ from pyspark.sql import types as T
 from . import hashing
 from ._util import partitions, small_batches, table
 
-#: Bytes of a shingle, and the share of hashes that a sketch retains, 1 / SCALE.
-WIDTH, SCALE = 16, 8
+#: Bytes of a shingle, and the share of hashes that a sketch retains, 1 / SCALE: a fingerprint takes about a sixth of its text's bytes.
+WIDTH, SCALE = 16, 32
 #: Bytes that are hashed at a time.
 SPAN = 1 << 20
 
 
 def sketch(text: bytes, width: int = WIDTH, scale: int = SCALE) -> np.ndarray:
-    """Sorted distinct hashes below 2 ** 64 / scale of all shingles, cut to 32 bits, and the smallest hash of all.
+    """Sorted distinct hashes below 2 ** 64 / scale of all shingles, cut to 32 bits: whether a hash is kept depends on nothing but the hash.
 
-    A text shorter than a shingle is one shingle; an empty text has an empty sketch. Sketches of texts merge by union, as long as
-    shingles across the seam don't count.
+    A text shorter than a shingle is one shingle; a short text may have an empty sketch, an empty one has. The sketch of texts taken together is the
+    union of theirs, as long as shingles across the seam don't count.
     """
     data = np.frombuffer(text, np.uint8)
     if not len(data):
         return np.zeros(0, np.uint32)
-    limit, kept, least = np.uint64((1 << 64) // scale - 1), [], None
+    limit, kept = np.uint64((1 << 64) // scale - 1), []
     for at in range(0, max(1, len(data) - width + 1), SPAN):
         h = hashing.windows(data[at : at + SPAN + width - 1], min(width, len(data)))
         kept.append(h[h <= limit])
-        least = h.min() if least is None else min(least, h.min())
-    h = np.unique(np.append(np.concatenate(kept), least))
-    # hashes that are kept have their highest bits 0; the smallest one may not
-    return np.unique(np.minimum(h // np.uint64(max(1, (1 << 32) // scale)), np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    return np.unique((np.concatenate(kept) // np.uint64(max(1, (1 << 32) // scale))).astype(np.uint32))
 
 
-def text_of(held: np.ndarray, width: int = WIDTH, scale: int = SCALE) -> str:
-    return f"s{width}/{scale}:{base64.b64encode(held.astype('>u4').tobytes()).decode()}"
+def whole(text: bytes) -> int:
+    """A hash of the whole text in 32 bits, which tells apart texts whose sketches are empty."""
+    return zlib.crc32(text)
+
+
+def text_of(held: np.ndarray, mark: int = 0, width: int = WIDTH, scale: int = SCALE) -> str:
+    """A fingerprint: shingle width and scale, the mark of the whole text, the sketch."""
+    return f"s{width}/{scale}:{mark:08x}:{base64.b64encode(held.astype('>u4').tobytes()).decode()}"
 
 
 def parsed(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(fingerprint.partition(":")[2]), ">u4").astype(np.uint32)
+    return np.frombuffer(base64.b64decode(fingerprint.split(":")[2]), ">u4").astype(np.uint32)
 
 
 def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.union1d(a, b)
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated resemblance, 0 to 1; two empty sketches are alike, an empty one is like no other."""
+def likeness(a: np.ndarray, b: np.ndarray, same: bool = False) -> float:
+    """Estimated resemblance, 0 to 1; same says whether the texts' marks are the same, which decides between two empty sketches. An empty one is like no other."""
     if not len(a) or not len(b):
-        return float(len(a) == len(b))
+        return float(len(a) == len(b) and same)
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
 
@@ -72,7 +76,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: text_of(sketch((t or "").encode())))
+        return texts.map(lambda t: text_of(sketch(raw := (t or "").encode()), whole(raw)))
 
     return docs.withColumn("fingerprint", of(F.coalesce(F.col(text), F.lit(""))))
 
@@ -116,24 +120,24 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None  # (range, key, text, sketch) that waits for its successor
+        held: tuple | None = None  # (range, key, text, sketch, mark) that waits for its successor
 
-        def finished(last: tuple, after: str, own: np.ndarray) -> tuple:
-            _, doc, whole, fp = last
-            half = len(whole) // 2
-            edited = (whole[: len(whole) - half] + after[:half]).encode()
-            new = sketch(edited)
-            return doc, len(whole), hashlib.sha256(edited).hexdigest(), text_of(fp), text_of(new), likeness(fp, new), likeness(fp, own)
+        def finished(last: tuple, after: str, own: np.ndarray, next_mark: int) -> tuple:
+            _, doc, full, fp, mark = last
+            half = len(full) // 2
+            edited = (full[: len(full) - half] + after[:half]).encode()
+            new, new_mark = sketch(edited), whole(edited)
+            return doc, len(full), hashlib.sha256(edited).hexdigest(), text_of(fp, mark), text_of(new, new_mark), likeness(fp, new, mark == new_mark), likeness(fp, own, mark == next_mark)
 
         for batch in batches:
             out = []
-            for at, role, doc, whole in zip(*(batch.column(c).to_pylist() for c in ("range", "role", "key", "text")), strict=True):
+            for at, role, doc, full in zip(*(batch.column(c).to_pylist() for c in ("range", "role", "key", "text")), strict=True):
                 if role and (held is None or held[0] != at):
                     continue  # only the first row ahead counts
-                fp = sketch(whole.encode())
+                fp, mark = sketch(raw := full.encode()), whole(raw)
                 if held is not None and held[0] == at:
-                    out.append(finished(held, whole, fp))
-                held = None if role else (at, doc, whole, fp)
+                    out.append(finished(held, full, fp, mark))
+                held = None if role else (at, doc, full, fp, mark)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(shape)], schema=shape)
 
     shape = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
@@ -143,4 +147,5 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
 
 def op7_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how like they are."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,17 @@ ENDS_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 LEFT_OUT = frozenset("nav footer aside form button menu dialog fieldset label input search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
-#: Words in a class or id of parts that are no article, and of parts that are.
-_NO = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|adbox|adslot|sponsor(?:ed|s)?|promos?|promotion|banners?|comments?|commentlist|disqus|respond|replies|reply|sidebars?|side|aside|rail|nav|navbar|navigation|menus?|breadcrumbs?|crumbs|foot|footers?|masthead|topbar|header|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|widgets?|pagination|pager|toolbar|skip|hidden|form|search|legal|copyright|tags|outbrain|taboola|shoutbox|paywall)(?:$|[\s_-]|\d)",
-    re.I,
-)
+# Words in a class or id of parts that are no article, gathered from the names that common page templates give such parts.
+_PARTS = (
+    "ad ads advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored sponsors promo promos promotion banner banners sidebar sidebars side aside rail nav navbar navigation menu menus "
+    "breadcrumb breadcrumbs crumbs foot footer footers masthead topbar header cookie cookies consent gdpr notice notices alert alerts popup popups modal modals overlay newsletter subscribe subscription signup login share sharing "
+    "social related recommend recommended recommendation recommendations widget widgets pagination pager toolbar skip hidden form search legal copyright tags outbrain taboola shoutbox paywall"
+).split()
+_COMMENTS = "comment comments commentlist disqus respond replies reply".split()
+#: Words that say how a part is set up, not what it is: 'has-sidebar', 'comments-open'.
+_STATE = re.compile(r"^(?:has|no|with|without|is|not)[-_]|[-_](?:open|opened|closed|on|off|enabled|disabled|allowed|visible)$", re.I)
+_NAME = re.compile(r"[^\s_-]+")
+_NO, _TALK = frozenset(_PARTS), frozenset(_COMMENTS)
 _YES = re.compile(r"article|body|content|entry|main|post|story|text|page|hentry|blog", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*)(?:>|\Z)", re.S)
@@ -36,12 +43,29 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "inside", "score", "chars", "linked", "commas", "out", "kind", "depth")
+    __slots__ = ("tag", "parent", "inside", "score", "chars", "linked", "commas", "out", "kind", "depth", "doubt", "whole", "title", "within")
 
     def __init__(self, tag: str, parent: Node | None) -> None:
         self.tag, self.parent, self.inside = tag, parent, []
         self.score, self.chars, self.linked, self.commas, self.out, self.kind = 0.0, 0, 0, 0, False, 0
         self.depth = parent.depth + 1 if parent else 0
+        # how sure its names are that it is no article (0 to 2), its text with all that is below, whether a main heading is in it, and whether it is in an article
+        self.doubt, self.whole, self.title = 0, 0, False
+        self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
+
+
+def _doubt(names: str) -> tuple[int, bool]:
+    """(2 if a name is a word for such parts, 1 if one is made with such a word, 0 else; whether it is readers' talk)."""
+    most, talk = 0, False
+    for name in names.split():
+        if _STATE.search(name):
+            continue
+        words = [w.rstrip("0123456789").lower() for w in _NAME.findall(name)]
+        if any(w in _TALK for w in words):
+            most, talk = max(most, 2 if len(words) == 1 else 1), talk or len(words) == 1
+        elif any(w in _NO for w in words):
+            most = max(most, 2 if len(words) == 1 else 1)
+    return most, talk
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -52,20 +76,32 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def parse(page: str) -> list[Node]:
-    """The page's elements in page order, the root first; text stands between them. Never fails, whatever the markup."""
+    """The page's elements in page order, the root first; text stands between them. Never fails, whatever the markup, and takes time in proportion to the page."""
     root = Node("#root", None)
     nodes, at, here, pos = [root], root, 0, 0
-    open_: dict[str, int] = {}
+    open_: dict[str, list[Node]] = {}  # the open elements of each tag
+    blocks: list[Node] = []  # the open ones of a block tag
     size = len(page)
 
     def close(upto: Node) -> None:
         nonlocal at
         while True:
-            open_[at.tag] -= 1
+            open_[at.tag].pop()
+            if at.tag in BLOCKS:
+                blocks.pop()
             done, at = at, at.parent
             if done is upto:
                 return
 
+    def nearest(tags: Iterable[str]) -> Node | None:
+        return max((open_[t][-1] for t in tags if open_.get(t)), key=lambda n: n.depth, default=None)
+
+    def end(tags: Iterable[str], until: Iterable[str]) -> None:
+        """Closes the nearest open element of these tags unless one of until stands between."""
+        node, wall = nearest(tags), nearest(until)
+        if node is not None and (wall is None or wall.depth < node.depth):
+            close(node)
+
     while pos < size:
         m = _TOKEN.search(page, pos)
         begin = m.start() if m else size
@@ -79,58 +115,65 @@ def parse(page: str) -> list[Node]:
         if not tag:
             continue
         if m[1]:
-            if open_.get(tag):
-                node = at
-                while node.tag != tag:
-                    # a stray inline end tag doesn't close the blocks around it
-                    if tag not in BLOCKS and node.tag in BLOCKS:
-                        node = None
-                        break
-                    node = node.parent
-                if node is not None:
-                    close(node)
+            # a stray inline end tag doesn't close the blocks around it
+            if open_.get(tag) and (tag in BLOCKS or not blocks or blocks[-1].depth < open_[tag][-1].depth):
+                close(open_[tag][-1])
             continue
-        if tag in ENDS_P and open_.get("p"):
-            node = at
-            while node.tag != "p" and node.tag not in ("table", "td", "th", "button", "object"):
-                node = node.parent
-                if node is None:
-                    break
-            if node is not None and node.tag == "p":
-                close(node)
+        if tag in ENDS_P:
+            end(("p",), ("table", "td", "th", "button", "object"))
         if tag in ENDS:
-            tags, until = ENDS[tag]
-            node, last = at, None
-            while node.parent is not None and node.tag not in until:
-                if node.tag in tags:
-                    last = node
-                node = node.parent
-            if last is not None:
-                close(last)
+            end(*ENDS[tag])
         node = Node(tag, at)
         raw = m[3]
         if raw and not raw.isspace():
             had = _attributes(raw)
             names = f"{had.get('class', '')} {had.get('id', '')}".strip()
             if names and tag not in ("html", "body", "article", "main"):
-                yes = bool(_YES.search(names))
-                node.out = bool(_NO.search(names)) and not (yes and re.search(r"article|main|content", names, re.I) and not re.search(r"comment|sidebar|\bads?\b|nav|foot|related|share", names, re.I))
-                node.kind = 25 * yes
+                node.kind = 25 * bool(_YES.search(names))
+                node.doubt, talk = _doubt(names)
+                node.out = talk
             node.out |= "hidden" in had or had.get("aria-hidden") == "true" or had.get("role", "").lower() in ROLES or bool(_HIDDEN.search(had.get("style", "")))
             if had.get("itemprop", "").lower() == "articlebody" or had.get("role", "").lower() in ("main", "article"):
-                node.kind, node.out = 50, False
+                node.kind, node.out, node.doubt = 50, False, 0
         node.out |= tag in LEFT_OUT or tag in RAW
         at.inside.append(node)
         nodes.append(node)
         if tag in RAW and not raw.endswith("/"):
-            end = _RAW_END[tag].search(page, here)
-            here = pos = end.end() if end else size
+            close_tag = _RAW_END[tag].search(page, here)
+            here = pos = close_tag.end() if close_tag else size
         elif tag not in VOID:
             at = node
-            open_[tag] = open_.get(tag, 0) + 1
+            open_.setdefault(tag, []).append(node)
+            if tag in BLOCKS:
+                blocks.append(node)
     return nodes
 
 
+def _leave_out(nodes: list[Node]) -> None:
+    """Marks what is no article. What only its names speak against goes if it is a smaller part of the page's text: a wrapper of all is kept, whatever
+    its template calls it; and one with a main heading is kept from half of the text on."""
+    for node in nodes:
+        if node.parent is not None and node.parent.out:
+            node.out = True
+        elif node.tag == "header" and not node.within:
+            node.out = True  # a header is the page's unless it stands in the article
+    for node in reversed(nodes):
+        if node.out:
+            continue
+        node.whole += sum(len(x) for x in node.inside if isinstance(x, str) and not x.isspace())
+        node.title |= node.tag in ("h1", "article", "main")
+        if node.parent is not None:
+            node.parent.whole += node.whole
+            node.parent.title |= node.title
+    total = nodes[0].whole
+    for node in nodes:
+        if node.parent is not None and node.parent.out:
+            node.out = True
+        elif node.doubt and not node.out:
+            share = node.whole / total if total else 0.0
+            node.out = share <= 0.5 or not node.title and (node.doubt == 2 or share <= 0.8)
+
+
 def _blocks(container: list[Node], keep: set[int]) -> list[str]:
     """Texts of the blocks below these elements, in page order; white space inside a block is one space."""
     out: list[str] = []
@@ -188,15 +231,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     nodes = parse(page)
-    for node in nodes:
-        if node.parent is not None and node.parent.out:
-            node.out = True
-        elif node.tag == "header" and not node.out:
-            # a header is the page's unless it stands in the article
-            up = node.parent
-            while up is not None and up.tag not in ("article", "main"):
-                up = up.parent
-            node.out = up is None
+    _leave_out(nodes)
     for node in reversed(nodes):
         if node.out:
             continue
@@ -274,5 +309,6 @@ def extracted(pages: DataFrame, page: str = "html") -> DataFrame:
 
 
 def op3_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     out = extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text").withColumn("n_chars", F.length("text").cast("long"))

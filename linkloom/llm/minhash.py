@@ -274,7 +274,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: tuple[int, int] =
     share = num / den
     least = max(1, int(n_hash * share - SLACK * (n_hash * share * (1 - share)) ** 0.5)) if share < 1 else n_hash
     signed = written(_signed(docs, words), "signatures")
-    reps = signed.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
+    # aggregates are written before they are joined, so that both sides are plain exchanges whose large partitions adaptive execution can split
+    reps = written(signed.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep")), "first-of-class")
     alike = signed.where("n > 0 and doc_id is not null").join(reps, "key")
     mine = written(alike.where("doc_id = rep").dropDuplicates(["doc_id"]).select("doc_id", "fronts", "sig"), "representatives")
 
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: tuple[int, int] =
     blocks = as_left.unionByName(as_member).withColumn("g", F.xxhash64("region", "l", "m"))
     late = _block_links(blocks, spark, num, den)
 
-    final = components(links.union(more).union(late))
+    final = written(components(links.union(more).union(late)), "components")
     found = alike.select("doc_id", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     found = found.groupBy("doc_id").agg(F.min("component").alias("component"))
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
@@ -337,4 +338,20 @@ def deduplicated(docs: DataFrame, words: int = 5, similar: tuple[int, int] = (80
 
 
 def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set's size and its component, of two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+#: All pairs that share a shingle, and their closure: what SQL can do on small tables.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, hash(unnest(s)) AS h FROM s),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (SELECT x, y FROM ways UNION SELECT r.a, k.y FROM reach r JOIN ways k ON r.b = k.x),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m, n.doc_id)) AS component_id, n.doc_id = least(n.doc_id, coalesce(m, n.doc_id)) AS kept FROM n LEFT JOIN least ON a = n.doc_id
+"""

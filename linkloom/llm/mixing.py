@@ -34,7 +34,7 @@ def counted(docs: DataFrame, weights: dict[str, float] | None = None, alpha: flo
     """docs with the column n_copies: the inverse of the Poisson distribution of the source's rate at a hash of (seed, key).
 
     The count depends on the key, the seed and the rate alone, so a rerun repeats it. Documents without a
-    source are one source; null keys share a count, as repeated keys do.
+    source are one source; null keys share a count, as repeated keys do. A column n_copies is replaced; names that begin with mix__ are the operator's own.
     """
     by = rates(docs, weights, alpha, total, text, source).withColumn("parts", F.greatest(F.ceil(F.col("rate") / F.lit(PART)), F.lit(1)).cast("int"))
     mean = F.col("rate") / F.col("parts")
@@ -46,12 +46,12 @@ def counted(docs: DataFrame, weights: dict[str, float] | None = None, alpha: flo
         p = acc["p"] * mean / k
         return F.struct(p.alias("p"), (acc["c"] + p).alias("c"), F.concat(acc["all"], F.array(acc["c"] + p)).alias("all"))
 
-    table_ = by.select(F.col("source").alias("_source"), F.col("parts").alias("_parts"), F.aggregate(F.sequence(F.lit(1), last), zero, step, lambda a: a["all"]).alias("_cdf"))
+    table_ = by.select(F.col("source").alias("mix__source"), F.col("parts").alias("mix__parts"), F.aggregate(F.sequence(F.lit(1), last), zero, step, lambda a: a["all"]).alias("mix__cdf"))
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    joined = docs.withColumn("_name", name).withColumn("_u", unit(F.lit(seed), name)).join(table_, F.col(source).eqNullSafe(F.col("_source")), "left")
-    drawn = lambda u: F.size(F.filter("_cdf", lambda c: c <= u)).cast("long")
-    more = F.aggregate(F.sequence(F.lit(1), F.col("_parts") - 1), drawn(F.col("_u")), lambda n, k: n + drawn(unit(F.lit(seed), F.col("_name"), k)))
-    return joined.withColumn("n_copies", F.when(F.col("_parts") > 1, more).otherwise(drawn(F.col("_u")))).drop("_name", "_u", "_source", "_parts", "_cdf")
+    joined = docs.withColumn("mix__name", name).withColumn("mix__u", unit(F.lit(seed), name)).join(table_, F.col(source).eqNullSafe(F.col("mix__source")), "left")
+    drawn = lambda u: F.size(F.filter("mix__cdf", lambda c: c <= u)).cast("long")
+    more = F.aggregate(F.sequence(F.lit(1), F.col("mix__parts") - 1), drawn(F.col("mix__u")), lambda n, k: n + drawn(unit(F.lit(seed), F.col("mix__name"), k)))
+    return joined.withColumn("n_copies", F.when(F.col("mix__parts") > 1, more).otherwise(drawn(F.col("mix__u")))).drop("mix__name", "mix__u", "mix__source", "mix__parts", "mix__cdf")
 
 
 def shuffle_key(key: Column, copy: Column, seed: int = SEED) -> Column:
@@ -77,6 +77,7 @@ def mix(docs: DataFrame, seed: int = SEED, key: str = "doc_id", **how) -> DataFr
 
 
 def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of all documents as its rows' ids, sources, counts and positions."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_copies", "copy", "position")
 
 

@@ -16,9 +16,17 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Patterns of the kinds that the method adds.
 LOCAL_PHONE = r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+# Secrets: keys whose form tells what they are, and values that stand behind a word for a secret and a sign that assigns them.
+KEY = (
+    r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,255}|xox[abeoprs]-[A-Za-z0-9-]{10,250}|AIza[A-Za-z0-9_-]{35}|[sr]k_live_[A-Za-z0-9]{16,250}|sk-[A-Za-z0-9_-]{20,250}"
+    r"|eyJ[A-Za-z0-9_-]{8,4000}+\.eyJ[A-Za-z0-9_-]{8,4000}+\.[A-Za-z0-9_-]{8,4000}+)(?![A-Za-z0-9_])|-----BEGIN\x20(?:[A-Z]{2,9}\x20){0,2}PRIVATE\x20KEY-----"
+)
+_SECRET_WORD = r"(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key)"
+SECRET = rf"(?<=(?i:{_SECRET_WORD})[\x22']?\x20?[:=]{{1,2}}\x20?[\x22']?)[A-Za-z0-9+/_.!@#$%^&*-][A-Za-z0-9+/_.!@#$%^&*=-]{{7,511}}+"
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "local_phone", "ssn")
+SECRET_KINDS = ("key", "secret")
+KINDS = (*BASE_KINDS, "iban", "local_phone", "ssn", *SECRET_KINDS)
 
 # Lengths of IBANs by country.
 IBAN_LENGTHS = {
@@ -40,9 +48,11 @@ CONTEXT = {
     "iban": r"\b(?:iban|account|bank|konto|compte|cuenta)\b",
     "local_phone": r"\b(?:phone|tel|telephone|call|mobile|cell|fax|telefon|teléfono|téléphone)\b",
     "ssn": r"\b(?:ssn|social|security|taxpayer)\b",
+    "key": r"\b(?:key|token|aws|secret|credential|bearer|authorization)\b",
+    "secret": r"\b(?:login|user|account|config|env|export|auth)\b",
 }
 #: Score of a confirmed pattern by itself and what a context word within NEAR code points adds; a span needs LEAST. Base spans need nothing.
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "local_phone": 0.35, "ssn": 0.35}
+PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "local_phone": 0.35, "ssn": 0.35, "key": 0.75, "secret": 0.6}
 BONUS, LEAST, NEAR = 0.2, 0.5, 40
 
 _BLOCK = 256
@@ -87,16 +97,20 @@ def _confirmed(kind: str, x: Column) -> Column:
         flat = F.regexp_replace(x, " ", "")
         lengths = F.create_map(*[F.lit(v) for pair in sorted(IBAN_LENGTHS.items()) for v in pair])
         return F.when(F.coalesce(F.try_element_at(lengths, F.substring(flat, 1, 2)) == F.length(flat), F.lit(False)), mod97(flat)).otherwise(F.lit(False))
+    if kind == "secret":
+        # letters and digits, or letters of both cases and a sign: prose behind the word is neither
+        return (x.rlike("[0-9]") & x.rlike("[A-Za-z]")) | (x.rlike("[a-z]") & x.rlike("[A-Z]") & x.rlike("[!@#$%^&*+/=]"))
     if kind == "ssn":
         return ~x.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
-_PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "local_phone": LOCAL_PHONE, "ssn": SSN}
+_PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "local_phone": LOCAL_PHONE, "ssn": SSN, "key": KEY, "secret": SECRET}
 #: A text without this has no span of the kind; it is cheap to look for.
 _HINTS = {
     "email": lambda t: F.contains(t, F.lit("@")), "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"), "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
-    "phone": lambda t: t.rlike(r"\+[0-9]"), "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"), "local_phone": lambda t: t.rlike(r"[0-9][.\x20-][0-9]{4}"), "ssn": lambda t: t.rlike(r"[0-9]-[0-9]{2}-[0-9]"),
+    "phone": lambda t: t.rlike(r"\+[0-9]"), "key": lambda t: t.rlike(r"AKIA|ASIA|gh[pousr]_|github_pat_|xox[abeoprs]-|AIza|[sr]k_live_|sk-|eyJ|PRIVATE\x20KEY"), "secret": lambda t: t.rlike(rf"(?i){_SECRET_WORD}[\x22']?\x20?[:=]"),
+    "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"), "local_phone": lambda t: t.rlike(r"[0-9][.\x20-][0-9]{4}"), "ssn": lambda t: t.rlike(r"[0-9]-[0-9]{2}-[0-9]"),
 }
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
@@ -154,12 +168,12 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     Places are code points, ends exclusive. Null and empty texts have no spans. A column pii is replaced; needs no shuffle.
     Matches of one kind don't overlap; those of different kinds may.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_text", whole)
+    names = {kind: f"pii__{kind}" for kind in KINDS}
+    out = docs.withColumn("pii__text", F.coalesce(F.col(text), F.lit("")))
     for kind in KINDS:
-        out = out.withColumn(f"_{kind}", _found(F.col("_text"), kind))
-    out = out.withColumns({f"_{kind}": _placed(F.col(f"_{kind}"), F.col("_text"), kind) for kind in KINDS})
-    return out.withColumn("pii", F.concat(*[F.col(f"_{kind}") for kind in KINDS])).drop("_text", *[f"_{kind}" for kind in KINDS])
+        out = out.withColumn(names[kind], _found(F.col("pii__text"), kind))
+    out = out.withColumns({names[kind]: _placed(F.col(names[kind]), F.col("pii__text"), kind) for kind in KINDS})
+    return out.withColumn("pii", F.concat(*[F.col(n) for n in names.values()])).drop("pii__text", *names.values())
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -179,7 +193,9 @@ def _digest(spans: Column) -> Column:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of every document; after the columns that are asked for: secrets, all spans, and the score of each span in their order."""
     out = pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
-    of = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    count = lambda kinds, name: F.size(F.filter("pii", lambda s: s["kind"].isin(*kinds))).cast("long").alias(name)
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
-    return out.select("doc_id", *[of(k) for k in BASE_KINDS], F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("pii")).alias("spans"))
+    scores = F.array_join(F.transform("pii", lambda s: F.format_number(s["score"], 2)), ",")
+    return out.select("doc_id", *[count([k], f"n_{k}") for k in BASE_KINDS], F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("pii")).alias("spans"), count(SECRET_KINDS, "n_secret"), count(KINDS, "n_spans"), scores.alias("scores"))

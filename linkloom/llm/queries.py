@@ -5,12 +5,12 @@ from __future__ import annotations
 from .decontamination import op4_simhash_decontamination
 from .fingerprints import op7_scaled_fingerprints
 from .html import op3_tree_scoring
-from .minhash import op1_minhash_forest
+from .minhash import OP1_SQL, op1_minhash_forest
 from .mixing import OP10_SQL, op10_poisson_mixing
 from .pii import op8_pii
 from .quality import op6_compression_quality
-from .sharding import op5_sharding
-from .suffixes import op2_suffix_dedup
+from .sharding import OP5_SQL, op5_sharding
+from .suffixes import OP2_SQL, op2_suffix_dedup
 from .tokens import op9_wavelet_tokens
 
 QUERIES = {
@@ -27,5 +27,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_minhash_forest": OP1_SQL,
+    "op2_suffix_dedup": OP2_SQL,
+    "op5_sharding": OP5_SQL,
     "op10_poisson_mixing": OP10_SQL,
 }

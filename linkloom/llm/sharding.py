@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._util import numbered, table
+from ._util import numbered, table, unit
 
 
 def rendezvous(key: Column, weights: list[float], seed: int = 0) -> Column:
@@ -21,8 +21,7 @@ def rendezvous(key: Column, weights: list[float], seed: int = 0) -> Column:
         raise ValueError("weights must be finite, not negative and not all 0")
 
     def score(shard: int, weight: float) -> Column:
-        u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard), F.lit(seed)), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-        return F.lit(float(weight)) / -F.log(u)
+        return F.lit(float(weight)) / -F.log(unit(F.lit(seed), F.lit(shard), F.coalesce(key.cast("string"), F.lit("null"))))
 
     best = F.struct(score(0, weights[0]).alias("s"), F.lit(0).alias("n"))
     ranked = [F.struct(score(k, w).alias("s"), F.lit(-k).alias("n")) for k, w in enumerate(weights)]
@@ -58,4 +57,16 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, key: str = "doc_i
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's size, checksum and place in 16 shards, and its shard if there were 17."""
     return shard(table(spark, sf_dir, "documents"), 16)
+
+
+# DuckDB has no CRC-32, so it is reckoned byte by byte with the table of its polynomial.
+OP5_SQL = """
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+d AS (SELECT doc_id, text, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b FROM documents),
+keyed AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1]))) AS text_crc32,
+list_transform(range(17), lambda s: (CAST('0x' || substr(md5('0:' || s || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) AS u FROM d, crc),
+dealt AS (SELECT doc_id, size, text_crc32, CAST(list_position(u, list_max(u[1:16])) - 1 AS INTEGER) AS shard, CAST(list_position(u, list_max(u)) - 1 AS INTEGER) AS grown_shard FROM keyed)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM dealt
+"""

@@ -534,3 +534,18 @@ def repeats_removed(docs: DataFrame, hot: int = HOT) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the byte strings of 50 that an earlier one holds too, as sizes and the hash of what is left."""
     return repeats_removed(table(spark, sf_dir, "documents"))
+
+
+#: Every string of 50 bytes of every document, which SQL can do on small tables.
+OP2_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, i, array_slice(b, i + 1, i + 50) AS s FROM (SELECT doc_id, b, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+g AS (SELECT s, min(doc_id) AS first FROM p GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT p.doc_id, p.i FROM p JOIN g ON p.s = g.s WHERE g.first < p.doc_id),
+runs AS (SELECT doc_id, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) AS before FROM hit)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS e FROM runs GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t, e - a AS gone FROM spans),
+ends AS (SELECT s.doc_id, max(s.e) AS f, any_value(d.n) AS t, 0 AS gone FROM spans s JOIN d USING (doc_id) GROUP BY s.doc_id),
+kept AS (SELECT c.doc_id, sum(c.gone) AS n_removed, count(*) FILTER (c.gone > 0) AS n_spans, sha256(unhex(string_agg(hex(array_slice(d.b, c.f + 1, c.t)), '' ORDER BY c.f))) AS h FROM (FROM cuts UNION ALL FROM ends) c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, coalesce(k.n_spans, 0) AS n_spans, coalesce(k.h, sha256(d.b)) AS kept_sha256 FROM d LEFT JOIN kept k USING (doc_id)
+"""
