@@ -12,29 +12,34 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def _met(ends: DataFrame, least: DataFrame) -> DataFrame:
+    """Each end v of a node u beside the node's minimum. The minima come from a written table: between two plain exchanges adaptive
+    execution can split the partition of a node with very many neighbours, above an aggregate it can't."""
+    return ends.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     near = _both(edges)
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return near.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = written(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
+    return _met(near.where("v > u"), least)
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-    moved = down.join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
+    least = written(down.groupBy("u").agg(F.min("v").alias("m")), "minima")
+    return _met(down, least).union(least.select("u", F.col("m").alias("v")))
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """Edges (u, v: long) to (id, component), component being the smallest id reachable; only ids that have an edge.
 
     Null ends and loops are ignored, repeated edges count once, no edges give no rows. A node with very
-    many neighbours only meets partial minima and joins that adaptive execution can split.
+    many neighbours only meets partial minima and joins that adaptive execution can split once a partition is past its limits.
     """
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     for _ in range(rounds):
-        edges = written(_small_star(_large_star(edges)).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        edges = written(_small_star(written(_large_star(edges), "stars")).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
