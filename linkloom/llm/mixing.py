@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._util import numbered, table, unit
+from ._util import numbered, table, unit, written
 
 #: Sources take part in proportion to (their characters) ** ALPHA; the mixture has TOTAL times the corpus's documents' mass.
 ALPHA, TOTAL, SEED = 0.5, 1.0, 17
@@ -47,6 +47,8 @@ def counted(docs: DataFrame, weights: dict[str, float] | None = None, alpha: flo
         return F.struct(p.alias("p"), (acc["c"] + p).alias("c"), F.concat(acc["all"], F.array(acc["c"] + p)).alias("all"))
 
     table_ = by.select(F.col("source").alias("mix__source"), F.col("parts").alias("mix__parts"), F.aggregate(F.sequence(F.lit(1), last), zero, step, lambda a: a["all"]).alias("mix__cdf"))
+    # as a written table its size is known when the join is planned: it is broadcast below spark.sql.autoBroadcastJoinThreshold, and documents aren't shuffled for it
+    table_ = written(table_, "rates")
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     joined = docs.withColumn("mix__name", name).withColumn("mix__u", unit(F.lit(seed), name)).join(table_, F.col(source).eqNullSafe(F.col("mix__source")), "left")
     drawn = lambda u: F.size(F.filter("mix__cdf", lambda c: c <= u)).cast("long")
