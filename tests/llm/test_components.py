@@ -61,3 +61,21 @@ def test_adaptive_execution_splits_a_hub(spark):
     finally:
         for k, v in had.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("at_once", [0, 60, 1000])
+def test_rounds_and_one_task_agree(spark, at_once):
+    edges = [(k, k + 1) for k in range(60)] + [(900, k) for k in range(400, 700)] + [(a, random.Random(a).randrange(2000, 2400)) for a in range(2000, 2400, 2)]
+    df = spark.createDataFrame([*edges, (None, 5), (3, 3), (1, 0)], "u long, v long")
+    assert sorted(tuple(r) for r in components.components(df, at_once=at_once).collect()) == sorted(plain(edges).items())
+
+
+def test_few_edges_take_few_jobs(spark):
+    df = components.written(spark.createDataFrame([(k, k + 1) for k in range(60)], "u long, v long"), "path")
+    spark.sparkContext.setJobGroup("few-edges", "few edges")
+    try:
+        got = components.components(df).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.component for r in got} == {0} and len(got) == 61
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-edges")) <= 8
