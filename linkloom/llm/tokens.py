@@ -19,6 +19,8 @@ from ._util import filesystem, new_folder, partitions, small_batches, table, wri
 FILE_TOKENS = 1 << 22
 #: Pieces that a worker remembers, about 40 bytes each.
 REMEMBERED = 1 << 22
+#: Bytes of texts that are cut at once, unless a single text has more: some 50 bytes are held for each of them.
+AT_ONCE = 1 << 19
 
 # The tokenizer's own split, for lower-cased text of Latin-1, where a code point is a byte: runs of letters, single digits, runs of other signs.
 _SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
@@ -59,7 +61,7 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class PieceEncoder:
     """Encodes whole texts by their pieces, whose ids are remembered: no token crosses a piece.
 
-    Texts in Latin-1 are lower-cased and cut for a whole batch at once. Others go to the tokenizer as they are, and so do texts that may hold one
+    Texts in Latin-1 are lower-cased and cut for a whole group at once. Others go to the tokenizer as they are, and so do texts that may hold one
     of its special tokens. Pieces are looked up by a hash of 64 bits and told apart by their length, first and last eight bytes.
     """
 
@@ -117,6 +119,19 @@ class PieceEncoder:
         return self.at[slot][inverse], self.sizes[slot][inverse]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text. Texts are taken in groups of at most AT_ONCE bytes, so that what is held doesn't grow with a batch's texts."""
+        out: list[np.ndarray] = []
+        group: list[bytes] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > AT_ONCE:
+                out += self._group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        return out + self._group(group)
+
+    def _group(self, texts: list[bytes]) -> list[np.ndarray]:
         plain: list[bytes] = []
         out: list[np.ndarray | None] = []
         for text in texts:
@@ -140,7 +155,7 @@ class PieceEncoder:
         keys = hashing.mixed((prefix[starts + lengths] - prefix[starts]) * hashing.powers(len(data), hashing.INVERSE, "down")[starts] + lengths.astype(_U) * _U(0xD6E8FEB86659FD93))
         try:
             at, sizes = self._places(data, starts, lengths, keys)
-        except ValueError:  # never seen: the tokenizer does the batch
+        except ValueError:  # never seen: the tokenizer does the group
             own = iter([self._whole(t) for t, o in zip(texts, out, strict=True) if o is None])
             return [next(own) if o is None else o for o in out]
         total = np.cumsum(sizes)

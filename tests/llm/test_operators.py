@@ -404,6 +404,23 @@ def test_encoder_against_the_tokenizer(monkeypatch):
     assert [x.tolist() for at in range(0, len(raw), 50) for x in few.encode(raw[at : at + 50])] == want
 
 
+def test_encoding_holds_a_bounded_part_of_a_batch(monkeypatch):
+    import tracemalloc
+
+    texts = [prose(1500, i % 7).encode() for i in range(600)] + [b"", b"a" * (tokens.AT_ONCE + 9), b"x y"]
+    whole = tokens.PieceEncoder(tokens.default_tokenizer())
+    want = [whole._whole(t).tolist() for t in texts[:7]] * 100
+    monkeypatch.setattr(hashing, "_TABLES", {})
+    tracemalloc.start()
+    try:
+        got = whole.encode(texts)
+        assert tracemalloc.get_traced_memory()[1] < 20 * sum(map(len, texts))
+    finally:
+        tracemalloc.stop()
+    assert [x.tolist() for x in got[:600]] == want[:600]
+    assert [x.tolist() for x in got[600:]] == [whole._whole(t).tolist() for t in texts[600:]]
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
