@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..plans import vocabulary as V
-from .urls import is_furniture, let
+from .urls import capital, is_furniture, let
 
 #: The references of HTML 4 by name; those that HTML 5 adds are for `unescaped` in functions.udfs, which decodes all.
 REFERENCES = {**name2codepoint, "apos": 39}
@@ -23,8 +23,8 @@ def tidy(text: Column) -> Column:
     rest = F.regexp_replace(F.regexp_replace(lead, V.CONNECTIVE, ""), r"^\s+|\s+$", "")
 
     def ended(r: Column) -> Column:
-        capital = F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, F.lit(2), F.length(r)))
-        return F.when(r == "", "").when(F.substring(r, -1, 1).isin(*V.STOPS), capital).otherwise(F.concat(capital, F.lit(".")))
+        said = capital(r)
+        return F.when(r == "", "").when(F.substring(r, -1, 1).isin(*V.STOPS), said).otherwise(F.concat(said, F.lit(".")))
 
     return let(rest, ended)
 
