@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from ..plans import vocabulary as V
 from .text import clean, decoded, tidy
+from .udfs import linear, matched
 from .urls import let
 
+
 def meta(page: Column, *names: str) -> Column:
     """The first <meta> of these names that isn't blank, whichever attribute comes first."""
-    found = [F.nullif(F.trim(F.regexp_extract(page, p.replace("{name}", name), 1)), F.lit("")) for name in names for p in (V.META_FIRST, V.META_LAST)]
-    return F.trim(decoded(F.coalesce(*found)))
+
+    def found(low: Column) -> Column:
+        # a page that lacks the name isn't searched for its pattern
+        return F.coalesce(*[F.when(low.contains(name.lower()), F.nullif(F.trim(F.regexp_extract(page, p.replace("{name}", name), 1)), F.lit(""))) for name in names for p in (V.META_FIRST, V.META_LAST)])
+
+    return F.trim(decoded(let(F.lower(page), found)))
 
 
 def scraped(page: Column) -> Column:
@@ -94,15 +100,19 @@ def tags(kind: Column, title: Column, description: Column, host: Column, url: Co
     """Ordered tags: kind, topics, then what host and text add. topics are (pattern, slug, label, facet)."""
     empty = lambda c: F.coalesce(c, F.lit(""))
     text = F.lower(F.concat_ws(" ", empty(title), empty(description), empty(host), empty(url)))
+    patterns = [*[pattern for pattern, *_ in topics], V.VIDEO_WORD]
 
-    def found(hay: Column) -> Column:
-        # letters of any language bound a word
-        named = [F.when(hay.rlike("(?U)" + pattern), slug) for pattern, slug, _, _ in topics]
-        video = empty(host).rlike(V.VIDEO_HOST) | hay.rlike("(?U)" + V.VIDEO_WORD)
+    def of(found: list[Column]) -> Column:
+        named = [F.when(f, slug) for f, (_, slug, *_) in zip(found, topics)]
+        video = empty(host).rlike(V.VIDEO_HOST) | found[-1]
         more = [F.when(repo.isNotNull(), "opensource"), F.when(empty(host).endswith("wikipedia.org"), "wikipedia"), F.when(video, "video")]
-        return F.array_distinct(F.filter(F.array(kind, *named, *more), lambda t: t.isNotNull()))
+        return F.array_except(F.array(kind, *named, *more), F.array(F.lit(None).cast("string")))
 
-    return let(text, found)
+    if linear(patterns):
+        bits = matched(text, patterns)
+        return of([bits.bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(patterns))])
+    # letters of any language bound a word
+    return let(text, lambda hay: of([hay.rlike("(?U)" + p) for p in patterns]))
 
 
 def kind_for(channel: Column, host: Column, channels: list[tuple[str, str]] = V.CHANNEL_KINDS, read: str = V.READ_HOST) -> Column:

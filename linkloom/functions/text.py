@@ -31,8 +31,15 @@ def tidy(text: Column) -> Column:
 
 def commentary(text: Column, most: int = 300) -> Column:
     """What was said around links, cut to most code points."""
-    said = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " "), r"\s+", " ")
-    return F.substring(F.btrim(said, F.lit(" -–—:•|")), 1, most)
+
+    def said(x: Column) -> Column:
+        flat = F.regexp_replace(F.regexp_replace(F.coalesce(x, F.lit("")), r"https?://\S+", " "), r"\s+", " ")
+        return F.btrim(flat, F.lit(" -–—:•|"))
+
+    # where the beginning of a long text gives more than is kept, the rest changes nothing: its end may hold part of a link, at most 8 code points
+    begun = said(F.substring(text, 1, 4 * most))
+    enough = (F.length(text) > 4 * most) & (F.length(begun) >= most + 20)
+    return F.substring(F.when(enough, begun).otherwise(said(text)), 1, most)
 
 
 def links(text: Column) -> Column:

@@ -30,23 +30,30 @@ def _rank(rows: DataFrame) -> Column:
     return F.struct((F.col("src") != CURATED).alias("a"), (-F.length(said)).alias("b"), ((title == "") | title.startswith("http")).alias("c"), *[c.alias(f"d{i}") for i, c in enumerate(_order())])
 
 
-def folded(sightings: DataFrame) -> DataFrame:
+def folded(sightings: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row a key: the surviving sighting, n, key_seq, first and last, and the union of tags.
 
-    Everything is a partial aggregate, so that a link that is everywhere is no hot key: the survivor is the least by a total order (seq is
-    unique), and tags come from the first place of each tag among the sightings, the survivor's own before all. Sightings without a key
-    stay single. What did not survive is in occurrences().
+    Everything is a partial aggregate over one pass, so that a link that is everywhere is no hot key: the survivor is the least by a total order
+    (seq is unique). Sightings are folded for each list of tags first, then the lists of a key are joined in the order in which they come first, the
+    survivor's own before all; a key has as many lists as its kinds, topics, sources and channels combine. Sightings without a key stay single.
+    What did not survive is in occurrences(). Of the survivor only columns are kept, if they are named: what else it has isn't worked out.
     """
-    have = [c for c in [*ENTRY, *MORE] if c in sightings.columns]
+    have = [c for c in [*ENTRY, *MORE] if c in sightings.columns and (columns is None or c in columns)]
+    tagged = "tags" in have
+    own = [c for c in have if c != "tags"]
     rows = sightings.where("key is not null")
     real = F.when(F.col("date") != "", F.col("date"))
-    by = rows.groupBy("key").agg(F.min_by(F.struct(*have), _rank(rows)).alias("best"), F.count(F.lit(1)).alias("n"), F.min(real).alias("lo"), F.max(real).alias("hi"), F.min("seq").alias("key_seq"))
-    first = rows.select("key", F.posexplode("tags").alias("at", "tag"), *[c.alias(f"o{i}") for i, c in enumerate(_order())]).groupBy("key", "tag").agg(F.min(F.struct("o0", "o1", "o2", "at")).alias("place"))
-    # a key has as many tags as there are kinds, topics, sources and channels at most
-    union = first.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "tag"))).alias("all")).select(F.col("key").alias("_key"), F.transform("all", lambda t: t["tag"]).alias("all"))
+    best = [F.min(F.struct(_rank(rows).alias("rank"), F.struct(*own, F.lit(0).alias("_")).alias("own"))).alias("best")] if have else []
+    of = [*best, F.count(F.lit(1)).alias("n"), F.min(real).alias("lo"), F.max(real).alias("hi"), F.min("date").alias("any"), F.min("seq").alias("key_seq")]
+    if tagged:
+        lists = rows.withColumn("_tags", F.coalesce("tags", F.array().cast("array<string>"))).groupBy("key", "_tags").agg(*of, F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order())])).alias("place"))
+        least = F.min(F.struct("best.rank", "best.own", F.col("_tags").alias("tags"))).alias("best")
+        by = lists.groupBy("key").agg(least, F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("any").alias("any"), F.min("key_seq").alias("key_seq"), F.array_sort(F.collect_list(F.struct("place", "_tags"))).alias("all"))
+        tags = [F.array_distinct(F.concat("best.tags", F.flatten(F.transform("all", lambda x: x["_tags"])))).alias("tags")]
+    else:
+        by, tags = rows.groupBy("key").agg(*of), []
     many = F.col("n") > 1
-    tags = F.array_distinct(F.concat("best.tags", F.coalesce("all", F.array().cast("array<string>"))))
-    out = by.join(union, F.col("key") == F.col("_key"), "left").select("key", *[F.col(f"best.{c}").alias(c) for c in have if c != "tags"], "n", "key_seq", F.when(many, F.col("lo")).otherwise(F.col("best.date")).alias("first"), F.when(many, F.col("hi")).otherwise(F.col("best.date")).alias("last"), tags.alias("tags"))
+    out = by.select("key", *[F.col(f"best.own.{c}").alias(c) for c in own], "n", "key_seq", F.when(many, F.col("lo")).otherwise(F.col("any")).alias("first"), F.when(many, F.col("hi")).otherwise(F.col("any")).alias("last"), *tags)
     single = sightings.where("key is null").withColumns({"n": F.lit(1).cast("long"), "key_seq": F.col("seq"), "first": F.col("date"), "last": F.col("date")})
     return out.unionByName(single.select([c for c in out.columns if c in single.columns]), allowMissingColumns=True)
 

@@ -38,7 +38,7 @@ def chat(messages: DataFrame, channels: DataFrame, cache: DataFrame, guild: str
     Channels that are hidden, furniture, vacancies and repeats within a message go. A thread goes by its parent's name.
     """
     shown = sight.shown_channels(channels, hidden).withColumn("chan", F.coalesce(F.nullif("parent", F.lit("")), F.nullif("name", F.lit(""))))
-    rows = sight.one_per_message(messages.join(shown.select("ch", "chan"), "ch"))
+    rows = sight.one_per_message(messages.join(F.broadcast(shown.select("ch", "chan")), "ch"), cache=cache)  # a row for each channel
     slugs = sight.channel_slugs(shown.where("chan is not null").select(F.col("chan").alias("name")))
     rows = rows.withColumn("src", F.lit("chat")).withColumn("said", F.regexp_replace(F.coalesce("said", F.lit("")), r"https?://\S+", " "))
     rows = sight.enriched(rows, cache, slugs, guild, topics=topics)
@@ -61,10 +61,9 @@ def built(entries: DataFrame, messages: DataFrame, channels: DataFrame, cache: D
     """
     spark = entries.sparkSession
     rows = curated(entries).unionByName(chat(messages, channels, cache, guild, hidden, topics))
-    merged = archive.folded(rows)
-    numbered = archive.with_ids(merged)
+    numbered = archive.with_ids(archive.folded(rows))
     shown = sight.shown_channels(channels, hidden).withColumn("name", F.coalesce(F.nullif("parent", F.lit("")), F.nullif("name", F.lit("")))).where("name is not null").select("name").distinct()
     facets = archive.facet_counts(numbered, tag_names(spark, topics), sight.channel_slugs(shown))
     sources = numbered.agg(F.count_if(F.col("src") == archive.CURATED).alias("newsletter"), F.count_if(F.col("src") != archive.CURATED).alias("chat"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("collapsed"))
     figures = sources.crossJoin(F.broadcast(archive.entities(numbered)))  # one row each
-    return Publication(numbered, archive.occurrences(rows, merged), facets, shown.orderBy("name"), figures)
+    return Publication(numbered, archive.occurrences(rows, numbered), facets, shown.orderBy("name"), figures)

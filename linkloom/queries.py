@@ -326,30 +326,31 @@ def description_priority(spark, d):
 
 @query(f"SELECT key, url, src, id, title, date FROM ({FOLDED})")
 def dedupe_survivor(spark, d):
-    return archive.folded(archive_rows(spark, d)).select("key", "url", "src", "id", "title", "date")
+    columns = ["url", "src", "id", "title", "date"]
+    return archive.folded(archive_rows(spark, d), columns).select("key", *columns)
 
 
 @query(f"SELECT key, string_agg(src || ':' || date || ':' || chan, ',' ORDER BY date, msg) AS also FROM ({RANKED}) WHERE place > 1 GROUP BY key")
 def dedupe_also(spark, d):
     rows = archive_rows(spark, d)
-    merged = archive.folded(rows)
+    merged = archive.folded(rows, ["seq"])
     nested = archive.with_also(merged, archive.occurrences(rows, merged)).where("also is not null")
     return nested.select("key", F.array_join(F.transform("also", lambda o: F.concat_ws(":", o["src"], o["date"], o["chan"])), ",").alias("also"))
 
 
 @query(f"SELECT key, n, first, last FROM ({FOLDED})")
 def first_last_seen(spark, d):
-    return archive.folded(archive_rows(spark, d)).select("key", "n", "first", "last")
+    return archive.folded(archive_rows(spark, d), []).select("key", "n", "first", "last")
 
 
 @query(f"SELECT key, string_agg(tag, ',' ORDER BY m) AS tags FROM ({d_union(RANKED)}) GROUP BY key")
 def tag_union(spark, d):
-    return archive.folded(archive_rows(spark, d)).select("key", F.array_join("tags", ",").alias("tags"))
+    return archive.folded(archive_rows(spark, d), ["tags"]).select("key", F.array_join("tags", ",").alias("tags"))
 
 
 @query(f"SELECT src, count(*) AS n, sum(n) - count(*) AS collapsed FROM ({FOLDED}) GROUP BY src")
 def source_summary(spark, d):
-    return archive.folded(archive_rows(spark, d)).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n") - 1).alias("collapsed"))
+    return archive.folded(archive_rows(spark, d), ["src"]).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n") - 1).alias("collapsed"))
 
 
 @query(f"SELECT count(DISTINCT key) AS entities FROM ({d_key(f'({SIGHTINGS})')})")
@@ -365,14 +366,14 @@ def channel_list(spark, d):
 @query(f"SELECT count(*) AS both_sources, CAST(count(*) FILTER (first < date) AS BIGINT) AS chat_first FROM (SELECT f.key, f.first, f.date FROM ({FOLDED}) f JOIN (SELECT key FROM ({ENRICHED}) GROUP BY key HAVING count(DISTINCT src) = 2) b ON f.key = b.key)")
 def cross_source_overlap(spark, d):
     rows = archive_rows(spark, d)
-    merged = archive.folded(rows)
+    merged = archive.folded(rows, ["date"])
     sources = rows.where("key is not null").groupBy("key").agg(F.count_distinct("src").alias("sources")).where("sources = 2").select(F.col("key").alias("_key"))
     return merged.join(sources, F.col("key") == F.col("_key"), "left_semi").agg(F.count(F.lit(1)).alias("both_sources"), F.count_if(F.col("first") < F.col("date")).alias("chat_first"))
 
 
 @query(f"SELECT key, row_number() OVER (ORDER BY CASE WHEN src = 'newsletter' THEN 0 ELSE 1 END, id, key_seq) AS entry_id FROM ({FOLDED})")
 def stable_ids(spark, d):
-    return archive.with_ids(archive.folded(archive_rows(spark, d))).select("key", "entry_id")
+    return archive.with_ids(archive.folded(archive_rows(spark, d), ["src", "id", "msg"])).select("key", "entry_id")
 
 
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
@@ -381,22 +382,22 @@ CHANNELS = ["click", "error", "purchase", "signup", "view"]
 @query(d_facets(d_union(RANKED), CHANNELS))
 def facet_counts(spark, d):
     rows = archive_rows(spark, d)
-    return archive.facet_counts(archive.folded(rows), publication.tag_names(spark), sight.channel_slugs(rows.select(F.col("chan").alias("name")).distinct()))
+    return archive.facet_counts(archive.folded(rows, ["tags"]), publication.tag_names(spark), sight.channel_slugs(rows.select(F.col("chan").alias("name")).distinct()))
 
 
 @query(f"SELECT key, last FROM ({FOLDED}) WHERE CAST(last AS DATE) >= DATE '{ASOF}' - 7")
 def time_range(spark, d):
-    return archive.within(archive.folded(archive_rows(spark, d)), ASOF, 7).select("key", "last")
+    return archive.within(archive.folded(archive_rows(spark, d), []), ASOF, 7).select("key", "last")
 
 
 @query(f"SELECT count(*) AS n, min(first) AS first_seen, (SELECT key FROM ({FOLDED}) ORDER BY first, key LIMIT 1) AS first_key, max(last) AS last_seen, (SELECT key FROM ({FOLDED}) ORDER BY last DESC, key DESC LIMIT 1) AS last_key FROM ({FOLDED})")
 def trace_first_last(spark, d):
-    return archive.trace(archive.folded(archive_rows(spark, d)))
+    return archive.trace(archive.folded(archive_rows(spark, d), []))
 
 
 @query(f"SELECT key FROM ({d_union(RANKED)}) WHERE tag IN ('read', 'purchase') GROUP BY key HAVING count(*) = 2")
 def facet_filter(spark, d):
-    return archive.with_tag(archive.folded(archive_rows(spark, d)), "read", "purchase").select("key")
+    return archive.with_tag(archive.folded(archive_rows(spark, d), ["tags"]), "read", "purchase").select("key")
 
 
 # ---- enrichment -----------------------------------------------------------------------------------------------------
